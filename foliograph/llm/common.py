@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -80,3 +82,26 @@ def java_class(keep: Callable[[int], bool], low: int = 0, high: int = 0xFFFF) ->
 
 def null_if_blank(c):
     return F.when(F.length(F.trim(c)) > 0, c)
+
+
+_written: list[tuple[SparkSession, str]] = []
+
+
+def shared_table(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet to the shared checkpoint folder and read back; removed when the application ends."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/foliograph-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if not _written:
+        atexit.register(_remove)
+    _written.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove() -> None:
+    for spark, path in _written:
+        try:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # noqa: BLE001  the session may be gone already
+            pass

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, leakage, textform, tokenizer
+from . import language, leakage, neardup, pairs, textform, tokenizer, truncation
 from .common import table
 
 
@@ -16,6 +16,28 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select(F.lit("exercise").alias("tbl"), F.col("exercise_id").alias("row_id")).unionAll(o.select(F.lit("ocr_output"), F.col("ocr_id")))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of different exercises whose questions are nearly the same."""
+    found = neardup.pairs(table(spark, sf_dir, "exercise"), "exercise_id", "question")
+    return found.select(F.col("a").alias("exercise_a"), F.col("b").alias("exercise_b"))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Defects of question and answer pairs; the language model is fitted on labelled documents."""
+    model = language.fit(table(spark, sf_dir, "documents"), "text", "lang", "doc_id")
+    return pairs.defects(table(spark, sf_dir, "exercise"), "exercise_id", "question", "answer", "source", model)
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exercises whose answer was cut."""
+    return truncation.found(table(spark, sf_dir, "exercise"), "exercise_id", "answer", "source")
+
+
+def p5_source_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each source's answers are cut."""
+    return truncation.shares(table(spark, sf_dir, "exercise"), "exercise_id", "answer", "source")
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of each document."""
     return tokenizer.encode_table(table(spark, sf_dir, "documents"), "doc_id", "text")
