@@ -5,10 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, leakage, neardup, pairs, textform, tokenizer, truncation
+from . import language, leakage, neardup, pairs, scannoise, textform, tokenizer, truncation
 from .common import table
 
 
+def _reader(spark: SparkSession, sf_dir: str):
+    return scannoise.reader_of(table(spark, sf_dir, "ocr_output"), "prediction", "bbox", table(spark, sf_dir, "exercise"), "question")
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scannoise.by_page(table(spark, sf_dir, "ocr_output"), "doc", "page_idx", "idx", "ocr_id", "prediction", "bbox")
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kinds of scan noise in recognised lines and in questions."""
+    reader = _reader(spark, sf_dir)
+    q = scannoise.question_noise(table(spark, sf_dir, "exercise"), "exercise_id", "question", reader)
+    o = scannoise.page_noise(_pages(spark, sf_dir), reader)
+    return q.select(F.lit("exercise").alias("tbl"), "row_id", "kind").unionAll(o.select(F.lit("ocr_output"), "row_id", "kind"))
+
+
+def p1_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions as continuous paragraphs."""
+    return scannoise.repaired_questions(table(spark, sf_dir, "exercise"), "exercise_id", "question", _reader(spark, sf_dir))
+
+
+def p1_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as continuous paragraphs."""
+    return scannoise.repaired_pages(_pages(spark, sf_dir), _reader(spark, sf_dir))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records with characters that look like plainer ones."""
     q = textform.odd_records(table(spark, sf_dir, "exercise"), "question", ["exercise_id"])
