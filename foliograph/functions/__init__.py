@@ -1 +1 @@
-
+"""Column functions: text, vocabulary and geometry."""

@@ -1 +1 @@
-
+"""DataFrame operators: segmentation, batching, quality measures, annotations, detection."""

@@ -1 +1 @@
-
+"""Composed pipelines, model adapters and the query catalogue."""

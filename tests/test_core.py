@@ -1,0 +1,206 @@
+"""Literal cases of the core operators."""
+
+import os
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from foliograph.functions import geometry as G
+from foliograph.functions import text as T
+from foliograph.operators import annotations, batching, quality, segment
+from foliograph.plans import models
+from foliograph.sources import readers, sinks
+
+
+def one(spark, expr, *values, names=None):
+    return spark.range(1).select(expr.alias("x")).first()["x"]
+
+
+def texts(spark, values, fn):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, t string")
+    return [r["x"] for r in df.select("i", fn(F.col("t")).alias("x")).orderBy("i").collect()]
+
+
+def test_page_slice(spark):
+    pages = spark.createDataFrame([("d", i) for i in range(6)], "doc string, page_idx int")
+    jobs = spark.createDataFrame([(1, "d", 1, None), (2, "d", 0, -1), (3, "d", 2, 5), (4, "d", -3, None), (5, "d", 4, 99), (6, "d", None, None), (7, "none", 0, 1)], "job_id long, doc string, start_page int, end_page int")
+    got = {}
+    for r in segment.page_slice(pages, jobs).collect():
+        got.setdefault(r.job_id, []).append(r.page_idx)
+    assert {k: sorted(v) for k, v in got.items()} == {1: [1, 2, 3, 4, 5], 2: [0, 1, 2, 3, 4], 3: [2, 3, 4], 4: [3, 4, 5], 5: [4, 5], 6: [0, 1, 2, 3, 4, 5]}
+
+
+def marks(spark, ys, page=0):
+    return spark.createDataFrame([("d", page, i, y) for i, y in enumerate(ys)], "doc string, page_idx int, idx int, y int")
+
+
+def test_bands(spark):
+    rows = lambda df: sorted((r.ex_idx, r.y_from, r.y_to) for r in df.collect())
+    assert rows(segment.bands(marks(spark, [120, 300, 560, 900]), height=1200)) == [(0, 110, 305), (1, 290, 565), (2, 550, 905)]
+    assert rows(segment.bands(marks(spark, [4, 300]), height=1200)) == [(0, 0, 305)]
+    assert rows(segment.bands(marks(spark, [700]), height=1200)) == []
+    assert rows(segment.bands(marks(spark, [700]), include_last=True, height=1200)) == [(0, 690, 1200)]
+
+
+@pytest.mark.parametrize(("p", "want"), [(0.1, [(120, 560), (120, 560), (300, 900)]), (0.5, [(120, 560), (300, 900), (560, 1200)]), (0.9, [(120, 560), (120, 900), (300, 1200)])])
+def test_context_bands(spark, monkeypatch, p, want):
+    monkeypatch.setattr(segment, "draw", lambda *k: F.lit(p))
+    got = sorted((r.ex_idx, r.y_from, r.y_to) for r in segment.context_bands(marks(spark, [120, 300, 560, 900]), height=1200).collect())
+    assert [g[1:] for g in got] == want
+    assert [tuple(r)[3:] for r in segment.context_bands(marks(spark, [4, 300]), height=1200).collect()] == [(4, 1200)]
+
+
+def test_line_repair(spark):
+    raw = ["a b foo foo foo foo", " foo foo foo foobar x foo", "x ( ( ( (", "c$ c$ c$ c$ c$", "end .....", "", None, "  "]
+    assert texts(spark, raw, T.collapse_repeats)[:4] == ["a b foo", "foo foobar x foo", "x (", "c$ c$"]
+    assert texts(spark, raw, T.repair_line)[4:] == ["end ", "", None, ""]
+
+
+def test_gate(spark):
+    df = spark.createDataFrame([(0.59, None), (0.6, None), (0.19, "abc"), (0.3, "abc")], "c double, t string")
+    assert [r.x for r in df.select(T.gate(F.lit("k"), F.col("c"), T.threshold(F.col("t"))).alias("x")).collect()] == ["", "k", "", "k"]
+
+
+def test_vocabulary(spark):
+    assert texts(spark, ["cab"], lambda c: T.encode(c, "abc")) == [[1, 6, 4, 5, 2]]
+    df = spark.createDataFrame([([1, 6, 4, 5, 2, 0, 0],), ([6, 4],)], "i array<int>")
+    assert [r.x for r in df.select(T.decode(F.col("i"), "abc").alias("x")).collect()] == ["cab", "ca"]
+    assert texts(spark, ["xin  chào"], T.space_out) == ["x i n \\; c h à o"]
+    assert texts(spark, ["x i n \\; c h à o"], T.close_up) == ["xin chào"]
+    df = spark.createDataFrame([(["a", "\\,", "\\;", "b", "</s>", "c"],)], "t array<string>")
+    assert df.select(T.join_tokens(F.col("t")).alias("x")).first().x == "a b"
+
+
+def test_reply(spark):
+    replies = ['```json\n{"exercise_list":[{"question":"é"}]}\n```', "{bad", '{"exercise_list":[]}', ""]
+    got = texts(spark, replies, lambda c: T.parse_exercises(T.clean_reply(c)))
+    assert [None if g is None else [tuple(x) for x in g] for g in got] == [[("é", None)], None, [], None]
+    assert texts(spark, ["a \\boxed{12} b", "none"], T.boxed) == ["12", None]
+    assert texts(spark, ["x" * 100], lambda c: T.data_url(c.cast("binary")))[0].count("\n") == 0
+
+
+def test_sizes(spark):
+    sizes = spark.createDataFrame([(100, 50), (20, 48), (5000, 100), (333, 48), (7, 60)], "w int, h int")
+    assert [r.x for r in sizes.select(G.ocr_width(F.col("w"), F.col("h")).alias("x")).collect()] == [100, 32, 1024, 340, 32]
+    pages = spark.createDataFrame([(1240, 1754), (800, 600), (2000, 496)], "w int, h int")
+    assert [tuple(r.x) for r in pages.select(G.multiple_of_32(F.col("w"), F.col("h")).alias("x")).collect()] == [(672, 960), (960, 704), (960, 224)]
+    assert [tuple(r.x) for r in pages.select(G.square_size(F.col("w"), F.col("h")).alias("x")).collect()] == [(723, 1024, 736, 1024), (1024, 768, 1024, 768), (1024, 253, 1024, 256)]
+    with pytest.raises(ValueError):
+        G.multiple_of_32(F.col("w"), F.col("h"), side="other")
+
+
+def test_polygons(spark):
+    df = spark.createDataFrame([([(0, 0), (4, 0), (4, 3), (0, 3)],), ([(1, 1), (1, 1)],)], "p array<struct<x:int,y:int>>")
+    p = F.col("p")
+    r = df.select(G.area(p).alias("a"), G.perimeter(p).alias("l"), G.roundness(p).alias("r"), G.bounds(p).alias("b")).collect()
+    assert (r[0].a, r[0].l, tuple(r[0].b)) == (12.0, 14.0, (0, 0, 4, 3)) and r[1].r == 0
+    q = df.where(F.size("p") == 4).select(G.order_corners(F.array(p[2], p[0], p[3], p[1])).alias("q")).first().q
+    assert [tuple(x) for x in q] == [(0, 0), (4, 0), (4, 3), (0, 3)]
+
+
+def test_batches(spark):
+    ratios = [1, 1.1, 1.35, 1.4, 1.5, 2.4, 2.5, 2.6, 2.7]
+    df = spark.createDataFrame([("g", float(r), i) for i, r in enumerate(ratios)], "g string, r double, i int")
+    assert [r.batch for r in batching.ratio_batches(df, ["g"], "r", "i", most=3).orderBy("i").collect()] == [0, 0, 0, 1, 1, 2, 2, 2, 3]
+
+
+def test_even_sample(spark):
+    for n, want in ((20, [0, 2, 4, 6, 8, 11, 13, 15, 17, 19]), (3, [0, 0, 0, 1, 1, 1, 1, 2, 2, 2])):
+        df = spark.createDataFrame([("g", i) for i in range(n)], "g string, i int")
+        assert [r.i for r in batching.even_sample(df, "g", ["i"]).orderBy("slot").collect()] == want
+
+
+def test_modal_angle(spark):
+    df = spark.createDataFrame([("g", float(a)) for a in (-3, -2, -1, 4, 5, 12, 88, 0)] + [("none", 88.0)], "g string, a double")
+    assert {r.g: r.angle for r in quality.modal_angle(df, "g", F.col("a")).collect()} == {"g": 2.0, "none": 0.0}
+
+
+def test_accuracy():
+    cases = [("abc", "abc", 1), ("abcd", "abxd", 0.75), ("hello world", "helo wrld", 0.909091), ("", "x", 0), ("x", "", 0), ("", "", 1), (None, None, 1)]
+    assert [round(quality.accuracy(a, b), 6) for a, b, _ in cases] == [c for *_, c in cases]
+    assert quality.explain("ab", "b") == "Lost a" and quality.explain("x", "") == "Can not OCR"
+
+
+def test_regions(spark, tmp_path):
+    (tmp_path / "p.json").write_text(
+        '{"_via_settings":{"project":{"name":"n"}},"_via_img_metadata":{"a":{"filename":"a.jpg","regions":['
+        '{"shape_attributes":{"name":"polygon","all_points_x":[1,2,3],"all_points_y":[1,2]},"region_attributes":{"key":"name","text":"An B"}},'
+        '{"shape_attributes":{"name":"rect","x":1,"y":1,"width":1,"height":1},"region_attributes":{"key":"logo"}},'
+        '{"shape_attributes":{"name":"rect","x":1,"y":1,"width":1,"height":1},"region_attributes":{"key":"id","text":"  "}},'
+        '{"shape_attributes":{"name":"rect","x":5,"y":6,"width":10,"height":4},"region_attributes":{"key":"id","text":"12"}}]}}}'
+    )
+    rows = {r.image: r for r in annotations.regions(readers.read_projects(spark, str(tmp_path / "p.json"))).collect()}
+    assert set(rows) == {"a.jpg_0.png", "a.jpg_3.png"}
+    assert rows["a.jpg_0.png"].target == "A n \\; B" and len(rows["a.jpg_0.png"].polygon) == 2
+    assert [tuple(p) for p in rows["a.jpg_3.png"].polygon] == [(5, 6), (15, 6), (15, 10), (5, 10)]
+
+
+def test_corpus_round_trip(spark, tmp_path):
+    (tmp_path / "src.txt").write_text("a.png\n \nb.png\nc.png\n")
+    (tmp_path / "tgt.txt").write_text("x\ny\nz\n")
+    assert sorted((r.src, r.tgt) for r in readers.read_corpus(spark, str(tmp_path)).collect()) == [("a.png", "x"), ("b.png", "z")]
+    sinks.write_records(spark.createDataFrame([("é", None)], "question string, answer string"), str(tmp_path / "out"))
+    assert spark.read.text(str(tmp_path / "out")).first().value == '{"question":"é","answer":null}'
+
+
+def test_binary_scan(spark, tmp_path):
+    (tmp_path / "x.pdf").write_bytes(b"1234")
+    (tmp_path / "y.txt").write_bytes(b"1")
+    assert [(r.doc, r.length) for r in readers.read_documents(spark, str(tmp_path)).collect()] == [("x", 4)]
+
+
+def test_models(spark):
+    class Flaky:
+        def __init__(self):
+            self.calls = 0
+
+        def process(self, prompt):
+            self.calls += 1
+            if prompt == "never" or self.calls == 1:
+                raise RuntimeError("down")
+            return '{"exercise_list":[{"question":"q","answer":null}]}'
+
+    df = spark.createDataFrame([(1, "a"), (2, "never"), (3, None), (4, "a")], "i int, t string").coalesce(1)
+    good, bad = models.extract(df, "t", Flaky)
+    assert sorted(r.i for r in good.collect()) == [1, 4]
+    assert {r.i: r.error for r in bad.collect()} == {2: "RuntimeError: down", 3: "ValueError: null prompt"}
+    with pytest.raises(ValueError):
+        models.Settings("nobody", "m")
+
+
+def test_reading_order():
+    boxes = [(50, 10, 60, 20), (0, 12, 10, 22), (0, 40, 10, 50)]
+    from functools import cmp_to_key
+
+    assert sorted(boxes, key=cmp_to_key(annotations.compare_boxes)) == [boxes[1], boxes[0], boxes[2]]
+
+
+def test_stream(spark, tmp_path):
+    from foliograph.streaming import markers
+
+    rows = [(1, "d", 0, 0, "Câu 1. a", pd.Timestamp("2024-01-01 00:01")), (1, "d", 0, 0, "Câu 1. a", pd.Timestamp("2024-01-01 00:02")), (2, "d", 0, 1, "b", pd.Timestamp("2024-01-01 00:02"))]
+    df = spark.createDataFrame(rows, "ocr_id long, doc string, page_idx int, idx int, prediction string, recognized_at timestamp")
+    df.write.parquet(str(tmp_path / "in"))
+    q = markers.marker_stream(markers.stream_lines(spark, str(tmp_path / "in"), df.schema)).writeStream.format("memory").queryName("marks").option("checkpointLocation", str(tmp_path / "cp")).start()
+    q.processAllAvailable()
+    q.stop()
+    assert [r.ocr_id for r in spark.table("marks").collect()] == [1]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the test tables")
+def test_catalogue_against_sql(spark):
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    con = duckdb.connect()
+    sf = "/root/testdata/sf0.001"
+    for f in os.listdir(sf):
+        con.execute(f"create view {f[:-8]} as select * from '{sf}/{f}'")
+    sql = entry.oracle_sql()
+    for name in ("page_range_slice", "exercise_records", "exercise_band_text", "line_repair", "ratio_batches", "context_bands"):
+        df = entry.queries()[name](spark, sf)
+        cols = sorted(df.columns)
+        want = con.execute(f"select {', '.join(cols)} from ({sql[name]})").fetchall()
+        assert sorted(map(str, map(tuple, df.select(cols).collect()))) == sorted(map(str, want)), name
