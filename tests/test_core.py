@@ -1,8 +1,8 @@
 """Literal cases of the core operators."""
 
 import os
+from datetime import datetime
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -179,7 +179,7 @@ def test_reading_order():
 def test_stream(spark, tmp_path):
     from foliograph.streaming import markers
 
-    rows = [(1, "d", 0, 0, "Câu 1. a", pd.Timestamp("2024-01-01 00:01")), (1, "d", 0, 0, "Câu 1. a", pd.Timestamp("2024-01-01 00:02")), (2, "d", 0, 1, "b", pd.Timestamp("2024-01-01 00:02"))]
+    rows = [(1, "d", 0, 0, "Câu 1. a", datetime(2024, 1, 1, 0, 1)), (1, "d", 0, 0, "Câu 1. a", datetime(2024, 1, 1, 0, 2)), (2, "d", 0, 1, "b", datetime(2024, 1, 1, 0, 2))]
     df = spark.createDataFrame(rows, "ocr_id long, doc string, page_idx int, idx int, prediction string, recognized_at timestamp")
     df.write.parquet(str(tmp_path / "in"))
     q = markers.marker_stream(markers.stream_lines(spark, str(tmp_path / "in"), df.schema)).writeStream.format("memory").queryName("marks").option("checkpointLocation", str(tmp_path / "cp")).start()
