@@ -256,7 +256,8 @@ def _identify(df: DataFrame, key: str, text: str, label: str, each, schema: str)
                 part = b.slice(at, 1000)
                 out = [(k, *row) for k, lab, got in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), held[0].batch(part.column(1).to_pylist()), strict=True) if got for row in each(lab, *got)]
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], names=[x.split()[0] for x in schema.format(kind).split(", ")])
+                    columns = list(zip(*out, strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(columns[0], part.column(0).type), *map(pa.array, columns[1:])], names=[x.split()[0] for x in schema.format(kind).split(", ")])
 
     return src.mapInArrow(run, schema.format(kind))
 
@@ -297,7 +298,7 @@ def segment_languages(df: DataFrame, key: str, text: str, label: str) -> DataFra
             c = int(r[i].argmax())
             yield int(i), LANGUAGES[chosen[c]], float(r[i, c]), own[i]
 
-    return _identify(df, key, text, label, each, "key {}, segment int, lang string, confidence double, words string").withColumnRenamed("key", key)
+    return _identify(df, key, text, label, each, "key {}, segment long, lang string, confidence double, words string").withColumnRenamed("key", key)
 
 
 def mislabelled(df: DataFrame, key: str, text: str, label: str) -> DataFrame:

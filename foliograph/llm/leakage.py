@@ -61,6 +61,8 @@ class TestSet:
         self.run, self.number = run, {}
         self._memo = _Numbers(self.number)
         stream: list[int] = []
+        self.ids = sorted({t[0] for t in texts})
+        place = {item: k for k, item in enumerate(self.ids)}
         self.starts, self.items, self.fields, self.left = [], [], [], []
         for item, field, text in texts:
             w = words(text)
@@ -72,7 +74,7 @@ class TestSet:
             stream += [self.number.setdefault(x, len(self.number) + 1) for x in w]
             for k in range(len(w) - run + 1):
                 self.starts.append(at + k)
-                self.items.append(item)
+                self.items.append(place[item])
                 self.fields.append(field)
                 self.left.append(len(w) - k)
         self.stream = np.array([*stream, *[0] * run], np.int64)
@@ -172,7 +174,7 @@ def leaks(docs: DataFrame, doc: str, text: str, items: DataFrame, item: str, fie
     """
     test = docs.sparkSession.sparkContext.broadcast(load_tests(items, item, fields, run))
     src = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text"))
-    kinds = src.schema["doc"].dataType.simpleString(), items.schema[item].dataType.simpleString()
+    kinds = src.schema["doc"].dataType.simpleString(), "string" if items.schema[item].dataType.simpleString() == "string" else "long"
 
     def run_(batches):
         for b in batches:
@@ -180,7 +182,7 @@ def leaks(docs: DataFrame, doc: str, text: str, items: DataFrame, item: str, fie
             at, suffix = search(t, b.column(1).to_pylist())
             if len(at):
                 pairs, n = np.unique(np.stack([at, t.items[suffix]], 1), axis=0, return_counts=True)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(pairs[:, 0])), pa.array(pairs[:, 1]), pa.array(n)], names=["doc", "item", "shared"])
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(pairs[:, 0])), pa.array([t.ids[i] for i in pairs[:, 1]]), pa.array(n)], names=["doc", "item", "shared"])
 
     found = src.mapInArrow(run_, f"doc {kinds[0]}, item {kinds[1]}, shared long")
     return found.groupBy("doc", "item").agg(F.max("shared").alias("shared"))

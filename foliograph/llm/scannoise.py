@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .language import bare
 from .textform import plain_form
@@ -455,7 +456,7 @@ def question_noise(df: DataFrame, key: str, text: str, reader) -> DataFrame:
                     ids.append(k)
                     kinds.append(x)
             if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(kinds)], names=["row_id", "kind"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids, b.column(0).type), pa.array(kinds)], names=["row_id", "kind"])
 
     return src.mapInArrow(run, _kinds_schema(src.schema["row_id"].dataType.simpleString())).distinct()
 
@@ -485,6 +486,8 @@ def by_page(df: DataFrame, doc: str, page: str, idx: str, key: str, text: str, b
 def page_noise(pages: DataFrame, reader) -> DataFrame:
     """``row_id``, ``kind`` for the lines of pages (of ``by_page``); null and empty lines have none; no row twice."""
 
+    kind = to_arrow_type(pages.schema["row_id"].dataType)
+
     def run(batches):
         r = reader.value
         ids, kinds = [], []
@@ -493,10 +496,10 @@ def page_noise(pages: DataFrame, reader) -> DataFrame:
                 ids.append(rows[i][3])
                 kinds.append(k)
             if len(ids) > 5000:
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(kinds)], names=["row_id", "kind"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(kinds)], names=["row_id", "kind"])
                 ids, kinds = [], []
         if ids:
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(kinds)], names=["row_id", "kind"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(kinds)], names=["row_id", "kind"])
 
     return pages.mapInArrow(run, _kinds_schema(pages.schema["row_id"].dataType.simpleString()))
 
@@ -523,12 +526,13 @@ def repaired_questions(df: DataFrame, key: str, text: str, reader) -> DataFrame:
 def repaired_pages(pages: DataFrame, reader) -> DataFrame:
     """``doc``, ``page``, ``text``: each page as continuous paragraphs."""
     kinds = [pages.schema[c].dataType.simpleString() for c in ("doc", "page")]
+    page_type = to_arrow_type(pages.schema["page"].dataType)
 
     def run(batches):
         r = reader.value
         for rows in _pages(batches):
             lines = [x[4] or "" for x in rows]
             noise = r.page([(x[5], x[6], x[4]) for x in rows])
-            yield pa.RecordBatch.from_arrays([pa.array([rows[0][0]]), pa.array([rows[0][1]], pa.int32()), pa.array([r.repaired(lines, noise)])], names=["doc", "page", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array([rows[0][0]]), pa.array([rows[0][1]], page_type), pa.array([r.repaired(lines, noise)])], names=["doc", "page", "text"])
 
     return pages.mapInArrow(run, f"doc {kinds[0]}, page {kinds[1]}, text string")
