@@ -61,8 +61,8 @@ class TestSet:
         self.run, self.number = run, {}
         self._memo = _Numbers(self.number)
         stream: list[int] = []
-        self.ids = sorted({t[0] for t in texts})
-        place = {item: k for k, item in enumerate(self.ids)}
+        self.names = sorted({t[0] for t in texts})
+        place = {item: k for k, item in enumerate(self.names)}
         self.starts, self.items, self.fields, self.left = [], [], [], []
         for item, field, text in texts:
             w = words(text)
@@ -182,7 +182,7 @@ def leaks(docs: DataFrame, doc: str, text: str, items: DataFrame, item: str, fie
             at, suffix = search(t, b.column(1).to_pylist())
             if len(at):
                 pairs, n = np.unique(np.stack([at, t.items[suffix]], 1), axis=0, return_counts=True)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(pairs[:, 0])), pa.array([t.ids[i] for i in pairs[:, 1]]), pa.array(n)], names=["doc", "item", "shared"])
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(pairs[:, 0])), pa.array([t.names[i] for i in pairs[:, 1]]), pa.array(n)], names=["doc", "item", "shared"])
 
     found = src.mapInArrow(run_, f"doc {kinds[0]}, item {kinds[1]}, shared long")
     return found.groupBy("doc", "item").agg(F.max("shared").alias("shared"))
