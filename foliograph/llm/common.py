@@ -33,6 +33,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` on all cores: a scan of fewer partitions than cores (small or single files) is dealt out, others stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def distinct_values(values: list[str | None], fn: Callable[[str], object]) -> list:
     """``fn`` of each value, called once per distinct non-null value of the batch."""
     memo: dict[str | None, object] = {None: None}

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import spread
 from .textform import plain_form
 
 LANGUAGES = ["vi", "en", "fr", "de", "es"]
@@ -244,7 +245,7 @@ def fit(df: DataFrame, text: str, label: str, key: str) -> Model:
 
 def _identify(df: DataFrame, key: str, text: str, label: str, each, schema: str) -> DataFrame:
     model = df.sparkSession.sparkContext.broadcast(fit(df, text, label, key))
-    src = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).alias("label"))
+    src = spread(df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).alias("label")))
     kind = src.schema["key"].dataType.simpleString()
     held: list[Identifier] = []
 

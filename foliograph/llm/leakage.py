@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import spread
 from .textform import plain_form
 
 #: Words in a row that make a leak.
@@ -173,7 +174,7 @@ def leaks(docs: DataFrame, doc: str, text: str, items: DataFrame, item: str, fie
     no rows; items with a null id are skipped.
     """
     test = docs.sparkSession.sparkContext.broadcast(load_tests(items, item, fields, run))
-    src = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text"))
+    src = spread(docs.select(F.col(doc).alias("doc"), F.col(text).alias("text")))
     kinds = src.schema["doc"].dataType.simpleString(), "string" if items.schema[item].dataType.simpleString() == "string" else "long"
 
     def run_(batches):

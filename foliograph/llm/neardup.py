@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import minhash
-from .common import shared_table
+from .common import shared_table, spread
 from .textform import LOOKALIKES, plain_form
 
 #: Jaccard similarity of word sets; probability of meeting a pair that is just so alike.
@@ -67,7 +67,7 @@ def signed(df: DataFrame, key: str, text: str, trees: int, k: int) -> DataFrame:
     a, b = minhash.coefficients(trees * k + SKETCH)
     weights = np.random.default_rng(11).integers(1, 1 << 62, (trees, k), dtype=np.uint64) | np.uint64(1)
     salt = np.random.default_rng(13).integers(0, 1 << 62, trees, dtype=np.uint64)
-    src = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    src = spread(df.select(F.col(key).alias("id"), F.col(text).alias("text")))
     kind = src.schema["id"].dataType.simpleString()
     memo = _Words()
 

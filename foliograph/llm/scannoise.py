@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from .common import spread
 from .language import bare
 from .textform import plain_form
 
@@ -445,7 +446,7 @@ def _kinds_schema(kind: str) -> str:
 
 def question_noise(df: DataFrame, key: str, text: str, reader) -> DataFrame:
     """``row_id``, ``kind`` for texts of several lines; nulls have none; no row twice."""
-    src = df.where(F.col(text).isNotNull()).select(F.col(key).alias("row_id"), F.col(text).alias("text"))
+    src = spread(df.where(F.col(text).isNotNull()).select(F.col(key).alias("row_id"), F.col(text).alias("text")))
 
     def run(batches):
         r = reader.value
@@ -506,7 +507,7 @@ def page_noise(pages: DataFrame, reader) -> DataFrame:
 
 def reader_of(ocr: DataFrame, text: str, bbox: str, exercises: DataFrame, question: str):
     """The reader of both tables, learned from all their texts, as a broadcast."""
-    texts = ocr.select(F.col(text).alias("text")).unionAll(exercises.select(F.col(question).alias("text")))
+    texts = spread(ocr.select(F.col(text).alias("text"))).unionAll(spread(exercises.select(F.col(question).alias("text"))))
     return ocr.sparkSession.sparkContext.broadcast(Reader(learn(texts), learn_openings(ocr, text, bbox)))
 
 
@@ -520,7 +521,7 @@ def repaired_questions(df: DataFrame, key: str, text: str, reader) -> DataFrame:
             out = [None if t is None else r.repaired(*r.question(t)) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], names=[key, text])
 
-    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, `{text}` string")
+    return spread(df.select(key, text)).mapInArrow(run, f"`{key}` {kind}, `{text}` string")
 
 
 def repaired_pages(pages: DataFrame, reader) -> DataFrame:

@@ -21,6 +21,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .common import spread
+
 VOCABULARY = "byte_bpe_50k"
 #: Pre-tokens of up to so many bytes are remembered; the memory of a worker is emptied at so many entries.
 MEMO_BYTES, MEMO_ENTRIES = 64, 400_000
@@ -253,7 +255,7 @@ def encode_table(df: DataFrame, key: str, text: str, path: str | None = None, id
     broadcast, so executors need no file.
     """
     ranks = df.sparkSession.sparkContext.broadcast(read_ranks(path or vocabulary_path()))
-    src = df.select(key, text)
+    src = spread(df.select(key, text))
     kind = src.schema[key].dataType.simpleString()
 
     def run(batches):

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import distinct_values
+from .common import distinct_values, spread
 
 #: Share of a source's answers at its greatest length that makes this a limit.
 PILE = 0.02
@@ -136,7 +136,7 @@ def with_cut(df: DataFrame, text: str, source: str, out: str = "cut") -> DataFra
 
 def found(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
     """``key`` and ``source`` of records whose text was cut; no row twice."""
-    return with_cut(df.select(key, text, source), text, source).where("cut").select(key, source).distinct()
+    return with_cut(spread(df.select(key, text, source)), text, source).where("cut").select(key, source).distinct()
 
 
 def shares(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
