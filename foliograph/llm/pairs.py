@@ -1,9 +1,10 @@
 """Problem 4: broken prompt and response pairs.
 
 One pass over the pairs finds empty, cut, copied and wrong-language answers.
-Refusals show as templates: openings of answers that carry no content of
-their own are clustered by MinHash (verified), and a cluster that answers
-unrelated prompts and declines is a refusal template.
+Refusals show as templates: first sentences of answers that carry no content
+of their own are clustered by their first words and by MinHash over the whole
+sentence (verified), and a cluster that answers unrelated prompts and declines
+is a refusal template.
 """
 
 from __future__ import annotations
@@ -25,10 +26,12 @@ from .truncation import with_cut
 
 #: Shares of answer and question words in common that make a copy; words of a copy at least.
 COPY_OF_ANSWER, COPY_OF_QUESTION, COPY_WORDS = 0.83, 0.45, 8
-#: Unrelated prompts that a refusal template answers; similarity and bands of openings.
-PROMPTS, ALIKE, BANDS, ROWS = 2, 0.8, 20, 4
-#: Words of an answer's opening: one shingle, so that an opening recurs whatever is declined and why.
+#: Similarity of sentences by runs of SHINGLE words: what is declined and why may differ.  Two just so alike are met with probability 0.999.
+ALIKE, SHINGLE, BANDS, ROWS = 0.4, 2, 40, 2
+#: Words of an answer's opening, which recurs whatever is declined and why.
 OPENING = 5
+#: Share of common words from which two prompts are related.
+RELATED = 0.5
 #: Log-likelihood by which another language must win; words of an answer's sentences at least.
 GAP, WORDS = 8.0, 4
 
@@ -87,18 +90,18 @@ def asked(question: str) -> set[str]:
 
 
 def opening(answer: str) -> tuple[str, bool] | None:
-    """First words of an answer without content of its own (numbers, formulas, names of points), and whether its first sentence declines."""
+    """First sentence of an answer without content of its own (numbers, formulas, names of points) as words, and whether it declines."""
     said = re.sub(r'"[^"]*("|$)|“[^”]*(”|$)', " … ", answer)  # what is quoted is nobody's refusal
     t = folded(said)
     if re.search(r"\d|[$=\\]", t) or re.search(r"(?<![^\W_])[A-Z]{2,}(?![^\W_])", said):
         return None
     lines = [x.strip() for x in re.split(r"(?<=[.!?:])\s+|\n", t) if _LETTERS.search(x) and not _HEADING.match(x)]
     words = _LETTERS.findall(lines[0]) if lines else []
-    return (" ".join(words[:OPENING]), bool(_DECLINE.search(lines[0]))) if len(words) >= 4 else None
+    return (" ".join(words), bool(_DECLINE.search(lines[0]))) if len(words) >= 4 else None
 
 
 def judge(df: DataFrame, key: str, question: str, answer: str, model: Model) -> DataFrame:
-    """``key``, ``defects`` found in the pair alone and the ``opening`` of answers that may be a refusal."""
+    """``key``, ``defects`` found in the pair alone and, of answers that may be a refusal, the first ``sentence``, whether it ``declines``, and the words of the ``prompt`` (hashes)."""
     sent = df.sparkSession.sparkContext.broadcast(model)
     kind = df.schema[key].dataType.simpleString()
     held: list[Identifier] = []
@@ -122,9 +125,10 @@ def judge(df: DataFrame, key: str, question: str, answer: str, model: Model) ->
                         if ql and al and _other_language(q, ql, al):
                             d.append("wrong_language")
                     out.append((d, (None if d[:1] in (["empty"], ["copy"]) else opening(a)) or (None, None)))
-                yield pd.DataFrame({key: p.iloc[:, 0].to_numpy(), "defects": [d for d, _ in out], "opening": [o for _, (o, _) in out], "declines": [x for _, (_, x) in out]})
+                prompts = [None if o is None else sorted({minhash.hash31(w) for w in repaired_words(q)}) for q, (_, (o, _)) in zip(qs, out, strict=True)]
+                yield pd.DataFrame({key: p.iloc[:, 0].to_numpy(), "defects": [d for d, _ in out], "sentence": [o for _, (o, _) in out], "declines": [x for _, (_, x) in out], "prompt": prompts})
 
-    return df.where(F.col(answer).isNotNull()).select(key, question, answer).mapInPandas(run, f"`{key}` {kind}, defects array<string>, opening string, declines boolean")
+    return df.where(F.col(answer).isNotNull()).select(key, question, answer).mapInPandas(run, f"`{key}` {kind}, defects array<string>, sentence string, declines boolean, prompt array<int>")
 
 
 def _other_language(question: str, q: tuple, a: tuple) -> bool:
@@ -137,32 +141,47 @@ def _other_language(question: str, q: tuple, a: tuple) -> bool:
     return best != own and total[best] - total[own] >= GAP and LANGUAGES[best] not in asked(question)
 
 
-def refusal_openings(openings: DataFrame) -> DataFrame:
-    """``opening`` of refusal templates.
+def _alike(a: str, b: str, share: float):
+    return F.size(F.array_intersect(a, b)) >= share * F.size(F.array_union(a, b))
 
-    ``openings`` has one row for each opening: opening, n (prompts it answers),
-    declining (how many of these answers decline).  Clusters are stars: an opening and all that are verified to be alike.
+
+def _tally(rows: DataFrame, by: str) -> DataFrame:
+    """Sums of ``n`` and ``declining`` for each ``by``, one ``prompt``, and whether the prompts are ``varied``: another is unrelated to that one."""
+    one = rows.groupBy(by).agg(F.min("prompt").alias("first"))
+    varied = F.col("varied") | ~_alike("prompt", "first", RELATED)
+    return rows.join(one, by).groupBy(by).agg(F.sum("n").alias("n"), F.sum("declining").alias("declining"), F.first("first").alias("prompt"), F.bool_or(varied).alias("varied"))
+
+
+def refusal_sentences(maybe: DataFrame) -> DataFrame:
+    """``sentence`` of refusal templates; ``maybe`` has one row for each answer: sentence, declines, prompt.
+
+    Clusters are the sentences of one opening, and stars: a sentence and all
+    that are verified to be alike.  Either is a template if its prompts are
+    unrelated and at least half of its answers decline.
     """
     a, b = minhash.coefficients(BANDS * ROWS)
 
     def sign(frames):
         for f in frames:
-            sets = [np.array(sorted({minhash.hash31(s) for s in minhash.shingles(o.split())}), np.uint64) for o in f["opening"]]
+            if not len(f):
+                continue
+            sets = [np.array(sorted({minhash.hash31(s) for s in minhash.shingles(o.split(), SHINGLE)}), np.uint64) for o in f["sentence"]]
             sig = minhash.signatures(sets, a, b).reshape(len(f), BANDS, ROWS)
             bands = [[hash((k, *row.tolist())) for k, row in enumerate(x)] for x in sig]
-            yield pd.DataFrame({"opening": f["opening"], "n": f["n"], "declining": f["declining"], "bands": bands, "items": [s.astype(np.int64).tolist() for s in sets]})
-
-    s = openings.mapInPandas(sign, "opening string, n long, declining long, bands array<long>, items array<long>")
-    x = s.select("opening", "items", F.explode("bands").alias("band"))
-    y = s.select(F.col("opening").alias("other"), F.col("items").alias("other_items"), "n", "declining", F.explode("bands").alias("band"))
-    near = (
-        x.join(y, "band")
-        .where(F.size(F.array_intersect("items", "other_items")) >= ALIKE * F.size(F.array_union("items", "other_items")))
-        .select("opening", "other", "n", "declining")
-        .distinct()
-    )
-    stars = near.groupBy("opening").agg(F.sum("n").alias("prompts"), F.sum("declining").alias("declining"))
-    return stars.where((F.col("prompts") >= PROMPTS) & (2 * F.col("declining") >= F.col("prompts"))).select("opening")
+            yield f.assign(bands=bands, items=[s.astype(np.int64).tolist() for s in sets])
+
+    template = F.col("varied") & (2 * F.col("declining") >= F.col("n"))
+    rows = maybe.select("sentence", "prompt", F.lit(1).cast("long").alias("n"), F.col("declines").cast("long").alias("declining"), F.lit(False).alias("varied"))
+    kind = "sentence string, n long, declining long, prompt array<int>, varied boolean, bands array<long>, items array<long>"
+    s = shared_table(_tally(rows, "sentence").mapInPandas(sign, kind)).withColumn("opening", F.substring_index("sentence", " ", OPENING))
+    openings = _tally(s.select("opening", "n", "declining", "prompt", "varied"), "opening").where(template).select("opening")
+    by_opening = s.join(openings, "opening", "left_semi").select("sentence")
+    x = s.join(openings, "opening", "left_anti").select("sentence", F.col("prompt").alias("first"), "items", F.explode("bands").alias("band"))
+    y = s.select(F.col("sentence").alias("other"), F.col("items").alias("other_items"), "n", "declining", "prompt", "varied", F.explode("bands").alias("band"))
+    met = x.join(y, "band").where(_alike("items", "other_items", ALIKE)).dropDuplicates(["sentence", "other"])
+    varied = F.col("varied") | ~_alike("prompt", "first", RELATED)
+    stars = met.groupBy("sentence").agg(F.sum("n").alias("n"), F.sum("declining").alias("declining"), F.bool_or(varied).alias("varied"))
+    return by_opening.unionByName(stars.where(template).select("sentence"))
 
 
 def defects(df: DataFrame, key: str, question: str, answer: str, source: str, model: Model) -> DataFrame:
@@ -174,10 +193,9 @@ def defects(df: DataFrame, key: str, question: str, answer: str, source: str, mo
     """
     one = df.select(key, question, answer, source).where(F.col(answer).isNotNull()).dropDuplicates([key, answer])
     cut = with_cut(one, answer, source).where("cut").select(key)
-    judged = shared_table(judge(one, key, question, answer, model).where(F.col("opening").isNotNull() | (F.size("defects") > 0)))
+    judged = shared_table(judge(one, key, question, answer, model).where(F.col("sentence").isNotNull() | (F.size("defects") > 0)))
     plain = judged.select(key, F.explode("defects").alias("defect"))
-    maybe = judged.where(F.col("opening").isNotNull()).select(key, "opening", "declines")
-    templates = refusal_openings(maybe.groupBy("opening").agg(F.count(F.lit(1)).alias("n"), F.count_if("declines").alias("declining")))
-    refusals = maybe.join(templates, "opening", "left_semi").select(key)
+    maybe = judged.where(F.col("sentence").isNotNull())
+    refusals = maybe.join(refusal_sentences(maybe), "sentence", "left_semi").select(key)
     truncated = cut.join(plain.where("defect = 'empty'").select(key), key, "left_anti")
     return plain.unionByName(refusals.withColumn("defect", F.lit("refusal"))).unionByName(truncated.withColumn("defect", F.lit("truncated"))).distinct()

@@ -171,6 +171,17 @@ def test_pairs(spark):
     assert pairs.defects(df.limit(0), "id", "q", "a", "source", model).count() == 0
 
 
+def test_refusals_in_other_words(spark):
+    model = language.train(LABELLED)
+    prompts = [VI, "Tính chu vi của hình chữ nhật có chiều dài gấp đôi chiều rộng.", "Nêu ý nghĩa nhan đề của bài thơ mà em đã học ở lớp."]
+    answers = [f"{w} thể đưa ra lời giải cho đề bài trên khi chưa có đủ thông tin." for w in ("Tôi không", "Rất tiếc, tôi chưa", "Thành thật xin lỗi, hệ thống không")]
+    same = [f"I am unable to answer this question {w}." for w in ("today", "here")]
+    rows = [*zip(prompts, answers), *((VI, a) for a in same), (prompts[1], "Tôi thích đọc sách vào buổi sáng."), (prompts[2], "Tôi thích đọc sách vào buổi chiều.")]
+    df = spark.createDataFrame([(i, q, a, "s") for i, (q, a) in enumerate(rows)], "id long, q string, a string, source string")
+    got = {r.id for r in pairs.defects(df, "id", "q", "a", "source", model).where("defect = 'refusal'").collect()}
+    assert got == {0, 1, 2}  # 3 and 4 answer one prompt only
+
+
 # --- 6 ---------------------------------------------------------------------------------------------------------------
 
 
