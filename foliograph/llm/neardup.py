@@ -1,13 +1,12 @@
-"""Problem 3: near-duplicate records among all records, by a MinHash LSH forest.
+"""Problem 3: near-duplicate records among all records, by MinHash banding.
 
 A record is the set of its distinct words.  Exact copies (equal sets) become
-one class.  Each class enters every tree of the forest under a label of
-minima; two classes are candidates if their labels share a prefix in some
-tree.  The prefix starts at the full label and is shortened until pairs at the
-threshold are met with the target probability; sorting by prefix and walking
-the groups is a sort-merge join on (tree, prefix), which splits hot prefixes.
-A 64-bit sketch discards most chance candidates inside the join, and the word
-sets themselves decide about the rest.
+one class.  Each class enters every tree under a prefix of minima; two classes
+are candidates if they share a prefix in some tree.  The length of the prefix
+is fixed for all rows: the longest at which pairs at the threshold are met with
+the target probability, so this is banding and not an LSH forest of nested
+prefixes.  Sizes and a 64-bit sketch discard only candidates that cannot reach
+the threshold, and the word sets themselves decide about the rest.
 """
 
 from __future__ import annotations
@@ -25,21 +24,21 @@ from .textform import LOOKALIKES, plain_form
 
 #: Jaccard similarity of word sets; probability of meeting a pair that is just so alike.
 ALIKE, TARGET = 0.8, 0.9993
-#: Trees of the forest and longest label.
+#: Trees (bands) and longest prefix.
 TREES, LABEL = 24, 8
-#: Bits of the sketch that must agree: at similarity 0.8 fewer agree with probability below 0.0003.
-SKETCH, AGREE = 64, 49
+#: Bits of the sketch.
+SKETCH = 64
 
 _WORD = re.compile(r"[^\W_]+")
 _FOREIGN = re.compile("[" + "".join(LOOKALIKES) + "]")
 
 
 def depth(alike: float = ALIKE, trees: int = TREES, label: int = LABEL, target: float = TARGET) -> int:
-    """The longest prefix at which the forest meets pairs of similarity ``alike`` with probability ``target``."""
+    """The longest prefix at which the trees meet pairs of similarity ``alike`` with probability ``target``."""
     for k in range(label, 0, -1):
         if 1 - (1 - alike**k) ** trees >= target:
             return k
-    raise ValueError("the forest has too few trees for this target")
+    raise ValueError("there are too few trees for this target")
 
 
 class _Words(dict):
@@ -62,9 +61,18 @@ def word_set(text: str | None, memo: dict) -> np.ndarray:
     return np.unique(np.frombuffer(b"".join(map(memo.__getitem__, tokens)), np.int32))
 
 
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """A sketch of each set: which of its ``SKETCH`` shares by hash hold an odd number of items; two differ in no more bits than the sets in items."""
+    flat = np.concatenate(sets).astype(np.uint64)
+    share = ((flat * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(58)).astype(np.int64)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    odd = np.bincount(row * SKETCH + share, minlength=len(sets) * SKETCH).reshape(len(sets), SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64).reshape(-1)
+
+
 def signed(df: DataFrame, key: str, text: str, trees: int, k: int) -> DataFrame:
     """``id``, ``set`` (hash of the word set), ``items``, ``prefixes`` (one for each tree) and ``sketch``; records without words left out."""
-    a, b = minhash.coefficients(trees * k + SKETCH)
+    a, b = minhash.coefficients(trees * k)
     weights = np.random.default_rng(11).integers(1, 1 << 62, (trees, k), dtype=np.uint64) | np.uint64(1)
     salt = np.random.default_rng(13).integers(0, 1 << 62, trees, dtype=np.uint64)
     src = spread(df.select(F.col(key).alias("id"), F.col(text).alias("text")))
@@ -85,13 +93,10 @@ def signed(df: DataFrame, key: str, text: str, trees: int, k: int) -> DataFrame:
                     continue
                 sets = [sets[i] for i in keep]
                 sig = minhash.signatures([s.astype(np.uint64) for s in sets], a, b).astype(np.uint64)
-                mixed = (sig[:, : trees * k].reshape(len(sets), trees, k) * weights).sum(2, dtype=np.uint64) + salt
+                mixed = (sig.reshape(len(sets), trees, k) * weights).sum(2, dtype=np.uint64) + salt
                 prefixes = ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                # one bit of each further minimum
-                bits = ((sig[:, trees * k :] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(63)).astype(np.uint8)
-                sketch = np.packbits(bits, axis=1).view(np.int64).reshape(-1)
                 own = np.array([minhash.xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(keep)), pa.array(own), lists(sets), lists(list(prefixes)), pa.array(sketch)], names=["id", "set", "items", "prefixes", "sketch"])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(keep)), pa.array(own), lists(sets), lists(list(prefixes)), pa.array(parities(sets))], names=["id", "set", "items", "prefixes", "sketch"])
 
     return src.mapInArrow(run, f"id {kind}, set long, items array<int>, prefixes array<int>, sketch long")
 
@@ -102,6 +107,14 @@ def jaccard(a: str, b: str) -> Column:
     return both / (F.size(a) + F.size(b) - both)
 
 
+def _possible(alike: float) -> Column:
+    """Whether rows ``a`` and ``b`` can be ``alike`` by their sizes and sketches; true of every pair that is."""
+    n, m = F.col("a.n"), F.col("b.n")
+    differing = F.bit_count(F.col("a.sketch").bitwiseXOR(F.col("b.sketch")))
+    slack = 1e-6  # for rounding
+    return (F.least(n, m) >= alike * F.greatest(n, m) - slack) & ((1 + alike) * differing <= (1 - alike) * (n + m) + slack)
+
+
 def near_duplicates(df: DataFrame, key: str, text: str, alike: float = ALIKE) -> tuple[DataFrame, DataFrame]:
     """Classes of exact copies and links between them.
 
@@ -115,10 +128,10 @@ def near_duplicates(df: DataFrame, key: str, text: str, alike: float = ALIKE) ->
     base = shared_table(signed(df, key, text, TREES, k))
     members = base.select("set", "id").distinct().withColumn("class", F.min("id").over(_by("set"))).select("class", "id")
     # one representative for each set: the smallest id, chosen with partial aggregation
-    reps = base.groupBy("set").agg(F.min(F.struct("id", "sketch", "prefixes")).alias("r")).select("r.*")
-    entries = reps.select("id", "sketch", F.posexplode("prefixes").alias("tree", "prefix"))
+    reps = base.groupBy("set").agg(F.min(F.struct("id", "sketch", F.size("items").alias("n"), "prefixes")).alias("r")).select("r.*")
+    entries = reps.select("id", "sketch", "n", F.posexplode("prefixes").alias("tree", "prefix"))
     a, b = entries.alias("a"), entries.alias("b")
-    met = a.join(b, (F.col("a.prefix") == F.col("b.prefix")) & (F.col("a.tree") == F.col("b.tree")) & (F.col("a.id") < F.col("b.id")) & (F.bit_count(F.col("a.sketch").bitwiseXOR(F.col("b.sketch"))) <= SKETCH - AGREE))
+    met = a.join(b, (F.col("a.prefix") == F.col("b.prefix")) & (F.col("a.tree") == F.col("b.tree")) & (F.col("a.id") < F.col("b.id")) & _possible(alike))
     pairs = met.select(F.col("a.id").alias("class_a"), F.col("b.id").alias("class_b")).distinct()
     items = base.groupBy("id").agg(F.min("items").alias("items"))
     with_a = pairs.join(items.withColumnRenamed("id", "class_a").withColumnRenamed("items", "items_a"), "class_a")

@@ -103,6 +103,23 @@ def test_near_duplicates_against_brute_force(spark):
     assert neardup.pairs(df.limit(0), "id", "t").count() == 0
 
 
+def test_no_candidate_at_the_threshold_is_discarded(spark):
+    rows = []
+    for seed in (900, 2824, 6778):  # a sketch of single bits of minima once discarded these
+        w = [f"từ{i}" for i in random.Random(seed).sample(range(10000), 30)]
+        rows += [(2 * seed, " ".join(w[:27])), (2 * seed + 1, " ".join(w[:24] + w[27:]))]  # 24 words of 30 in common
+    df = spark.createDataFrame(rows, "id long, t string")
+    assert sorted((r.a, r.b) for r in neardup.pairs(df, "id", "t").collect()) == [(2 * s, 2 * s + 1) for s in (900, 2824, 6778)]
+
+
+def test_parities_bound_the_difference():
+    draw = np.random.default_rng(4)
+    for n in (1, 20, 300):
+        sets = [np.unique(draw.integers(0, 3 * n, n)).astype(np.int32) * 7919 for _ in range(40)]
+        p = neardup.parities(sets).tolist()
+        assert all(((x ^ y) & 2**64 - 1).bit_count() <= len(np.setxor1d(a, b)) for x, a in zip(p, sets) for y, b in zip(p, sets))
+
+
 def test_forest_depth():
     k = neardup.depth()
     assert 1 - (1 - 0.8**k) ** neardup.TREES >= neardup.TARGET > 1 - (1 - 0.8 ** (k + 1)) ** neardup.TREES
