@@ -219,9 +219,19 @@ def parse_quarantine(spark, d):
 
 @_query(r"select doc_id, replace(replace('```json' || chr(10) || trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) || '```', '```', ''), 'json', '') as text from documents where text is not null and regexp_matches(text, '^[!-~]') and regexp_matches(text, '[!-~]$')")
 def llm_output_clean(spark, d):
-    """The literal cleaning of a fenced reply: every fence mark and every "json" removed."""
+    """The literal cleaning of a fenced reply: every fence mark and every "json" removed; only texts that begin and end in printable ASCII, as in the SQL."""
     t = table(spark, d, "documents").where(F.col("text").rlike("^[!-~]") & F.col("text").rlike("[!-~]\\z"))
-    return t.select("doc_id", T.clean_reply(F.concat(F.lit("```json\n"), "text", F.lit("```")), literal=True).alias("text")).withColumn("text", F.col("text"))
+    return _literally_clean(t)
+
+
+def _literally_clean(t: DataFrame) -> DataFrame:
+    return t.select("doc_id", T.clean_reply(F.concat(F.lit("```json\n"), "text", F.lit("```")), literal=True).alias("text"))
+
+
+@_query()
+def llm_output_clean_all(spark, d):
+    """The same cleaning of all documents; white space inside the fence stays, and a null text stays null."""
+    return _literally_clean(table(spark, d, "documents"))
 
 
 @_query(rf"with {EX} select exercise_id, case when regexp_matches(answer, '\\boxed\{{[^{{}}]*\}}') then regexp_extract(answer, '\\boxed\{{([^{{}}]*)\}}', 1) end as boxed from ex where answer is not null")

@@ -80,6 +80,15 @@ def test_reply(spark):
     assert texts(spark, ["x" * 100], lambda c: T.data_url(c.cast("binary")))[0].count("\n") == 0
 
 
+def test_literal_cleaning_of_all_documents(spark, tmp_path):
+    from foliograph.plans import catalogue
+
+    texts = ["a", "", " ", " \n\x0b a \t", "Ấm áp ẩ", "“json” a", "a 😀", "\u00a0a\u2009", "``json`", "jsjsonon", "```json\na```", "a\n", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.text for r in catalogue.queries()["llm_output_clean_all"](spark, str(tmp_path)).collect()}
+    assert got == {i: None if t is None else f"```json\n{t}```".strip().replace("```", "").replace("json", "") for i, t in enumerate(texts)}
+
+
 def test_sizes(spark):
     sizes = spark.createDataFrame([(100, 50), (20, 48), (5000, 100), (333, 48), (7, 60)], "w int, h int")
     assert [r.x for r in sizes.select(G.ocr_width(F.col("w"), F.col("h")).alias("x")).collect()] == [100, 32, 1024, 340, 32]
