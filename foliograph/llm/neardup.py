@@ -1,12 +1,16 @@
-"""Problem 3: near-duplicate records among all records, by MinHash banding.
-
-A record is the set of its distinct words.  Exact copies (equal sets) become
-one class.  Each class enters every tree under a prefix of minima; two classes
-are candidates if they share a prefix in some tree.  The length of the prefix
-is fixed for all rows: the longest at which pairs at the threshold are met with
-the target probability, so this is banding and not an LSH forest of nested
-prefixes.  Sizes and a 64-bit sketch discard only candidates that cannot reach
-the threshold, and the word sets themselves decide about the rest.
+"""Problem 3: near-duplicate records among all records, by a MinHash LSH forest.
+
+A record is the set of its distinct words.  Equal sets are one class, named by
+a hash of the set and not by any record.  Each class has one label for each
+tree, a sequence of minima; the labels of a tree, sorted, are a prefix trie.
+Labels are shortened adaptively: a class meets the others below its shortest
+prefix whose subtree is small, and in crowded subtrees the prefix is no longer
+than the one that meets pairs at the threshold with the target probability.
+Sizes and a parity sketch discard only candidates that can't reach the
+threshold; the words themselves decide about the rest.
+
+Subtrees and classes of more than ``SPLIT`` rows are cut into blocks that are
+joined block by block, so that no task holds a hot group.
 """
 
 from __future__ import annotations
@@ -15,7 +19,8 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import minhash
@@ -24,8 +29,12 @@ from .textform import LOOKALIKES, plain_form
 
 #: Jaccard similarity of word sets; probability of meeting a pair that is just so alike.
 ALIKE, TARGET = 0.8, 0.9993
-#: Trees (bands) and longest prefix.
+#: Trees, and minima in a label.
 TREES, LABEL = 24, 8
+#: Prefixes are shortened by at most so many minima below the target's, while their subtree has at most so many classes.
+SHORTER, SPARSE = 2, 8
+#: Rows of one group that a task joins with each other; larger groups are split, over so many salts.
+SPLIT, SALTS = 256, 64
 #: Bits of the sketch.
 SKETCH = 64
 
@@ -42,10 +51,10 @@ def depth(alike: float = ALIKE, trees: int = TREES, label: int = LABEL, target:
 
 
 class _Words(dict):
-    """Blank-separated tokens to the bytes of their word hashes; emptied at half a million entries."""
+    """Blank-separated tokens to their words; emptied at half a million entries."""
 
-    def __missing__(self, token: str) -> bytes:
-        got = np.array([minhash.hash31(w) for w in _WORD.findall(plain_form(token).lower())], np.int32).tobytes()
+    def __missing__(self, token: str) -> list[str]:
+        got = _WORD.findall(plain_form(token).lower())
         if len(token) <= 64:
             if len(self) >= 500_000:
                 self.clear()
@@ -53,12 +62,33 @@ class _Words(dict):
         return got
 
 
-def word_set(text: str | None, memo: dict) -> np.ndarray:
-    """Sorted distinct word hashes of the plain form of ``text``; the whole text is used."""
+def word_set(text: str | None, memo: _Words) -> list[str]:
+    """Sorted distinct words of the plain form of ``text``; the whole text is used."""
     if not text:
-        return np.zeros(0, np.int32)
-    tokens = (plain_form(text) if _FOREIGN.search(text) else text).split()
-    return np.unique(np.frombuffer(b"".join(map(memo.__getitem__, tokens)), np.int32))
+        return []
+    out: set[str] = set()
+    for token in set((plain_form(text) if _FOREIGN.search(text) else text).split()):
+        out.update(memo[token])
+    return sorted(out)
+
+
+def word_sets(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``id``, ``words`` (sorted, distinct) and ``set`` (their 128-bit hash) of each record; records without words left out."""
+    src = spread(df.select(F.col(key).alias("id"), F.col(text).alias("text")))
+    kind = src.schema["id"].dataType.simpleString()
+    memo = _Words()
+
+    def run(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2000):
+                part = whole.slice(at, 2000)
+                sets = [word_set(t, memo) for t in part.column(1).to_pylist()]
+                keep = [i for i, s in enumerate(sets) if s]
+                if keep:
+                    own = [xxhash.xxh3_128_digest("\n".join(sets[i])) for i in keep]
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(keep)), pa.array([sets[i] for i in keep], pa.list_(pa.string())), pa.array(own, pa.binary())], names=["id", "words", "set"])
+
+    return src.mapInArrow(run, f"id {kind}, words array<string>, set binary")
 
 
 def parities(sets: list[np.ndarray]) -> np.ndarray:
@@ -70,41 +100,85 @@ def parities(sets: list[np.ndarray]) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64).reshape(-1)
 
 
-def signed(df: DataFrame, key: str, text: str, trees: int, k: int) -> DataFrame:
-    """``id``, ``set`` (hash of the word set), ``items``, ``prefixes`` (one for each tree) and ``sketch``; records without words left out."""
-    a, b = minhash.coefficients(trees * k)
-    weights = np.random.default_rng(11).integers(1, 1 << 62, (trees, k), dtype=np.uint64) | np.uint64(1)
-    salt = np.random.default_rng(13).integers(0, 1 << 62, trees, dtype=np.uint64)
-    src = spread(df.select(F.col(key).alias("id"), F.col(text).alias("text")))
-    kind = src.schema["id"].dataType.simpleString()
-    memo = _Words()
+class _Hashes(dict):
+    def __missing__(self, word: str) -> int:
+        if len(self) >= 500_000:
+            self.clear()
+        got = self[word] = minhash.hash31(word)
+        return got
+
 
-    def lists(parts: list[np.ndarray]) -> pa.Array:
-        ends = np.cumsum([0, *map(len, parts)], dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts).astype(np.int32)))
+def labels(sets: DataFrame, trees: int, most: int, shorter: int) -> DataFrame:
+    """One row for each class and tree: ``root`` (tree and the shortest prefix), ``rest`` (16 bits of each further minimum up to ``most``, first one highest), ``n``, ``sketch``, ``sid``."""
+    a, b = minhash.coefficients(trees * most)
+    least = max(1, most - shorter)
+    draw = np.random.default_rng(11)
+    weights, salt = draw.integers(1, 1 << 62, (trees, least), dtype=np.uint64) | np.uint64(1), draw.integers(0, 1 << 62, trees, dtype=np.uint64)
+    hashes = _Hashes()
 
     def run(batches):
         for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                part = whole.slice(at, 2000)
-                sets = [word_set(t, memo) for t in part.column(1).to_pylist()]
-                keep = [i for i, s in enumerate(sets) if len(s)]
-                if not keep:
-                    continue
-                sets = [sets[i] for i in keep]
-                sig = minhash.signatures([s.astype(np.uint64) for s in sets], a, b).astype(np.uint64)
-                mixed = (sig.reshape(len(sets), trees, k) * weights).sum(2, dtype=np.uint64) + salt
-                prefixes = ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                own = np.array([minhash.xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(keep)), pa.array(own), lists(sets), lists(list(prefixes)), pa.array(parities(sets))], names=["id", "set", "items", "prefixes", "sketch"])
-
-    return src.mapInArrow(run, f"id {kind}, set long, items array<int>, prefixes array<int>, sketch long")
-
-
-def jaccard(a: str, b: str) -> Column:
-    """Similarity of two columns of sorted distinct items."""
-    both = F.size(F.array_intersect(a, b))
-    return both / (F.size(a) + F.size(b) - both)
+            for at in range(0, whole.num_rows, 1000):
+                part = whole.slice(at, 1000)
+                # equal hashes of different words may only bring more candidates: a set of hashes loses none
+                sets = [np.array([hashes[w] for w in ws], np.int64) for ws in part.column(1).to_pylist()]
+                own = np.array([int.from_bytes(x[:8], "big", signed=True) for x in part.column(0).to_pylist()], np.int64)
+                sig = minhash.signatures([s.astype(np.uint64) for s in sets], a, b).astype(np.uint64).reshape(len(sets), trees, most)
+                mixed = (sig[:, :, :least] * weights).sum(2, dtype=np.uint64) + salt
+                root = ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64).reshape(-1)
+                rest = np.zeros((len(sets), trees), np.int64)
+                for k in range(least, most):
+                    rest = rest << 16 | (sig[:, :, k] & np.uint64(0xFFFF)).astype(np.int64)
+                n, sketch = np.array([len(s) for s in sets], np.int32), parities(sets)
+                yield pa.RecordBatch.from_arrays([pa.array(root), pa.array(rest.reshape(-1)), *(pa.array(np.repeat(x, trees)) for x in (n, sketch, own))], names=["root", "rest", "n", "sketch", "sid"])
+
+    return sets.select("set", "words").mapInArrow(run, "root long, rest long, n int, sketch long, sid long")
+
+
+def nodes(entries: DataFrame, steps: int, sparse: int) -> DataFrame:
+    """``entries`` with the ``node`` of the trie at which each class meets others, and the ``size`` of its subtree.
+
+    All counts are windows over one partitioning by root; a root's rows are of
+    fixed size and are only counted.
+    """
+    prefix = [F.shiftright("rest", 16 * (steps - k)) for k in range(steps + 1)]
+    counted = entries
+    for k in range(steps, -1, -1):  # the longest prefix first: its order serves the shorter ones
+        counted = counted.withColumn(f"c{k}", F.count(F.lit(1)).over(Window.partitionBy("root", *[prefix[j] for j in range(1, k + 1)])))
+    at, size = F.lit(steps), F.col(f"c{steps}")
+    for k in range(steps - 1, -1, -1):
+        small = F.col(f"c{k}") <= sparse
+        at, size = F.when(small, F.lit(k)).otherwise(at), F.when(small, F.col(f"c{k}")).otherwise(size)
+    node = F.lit(0).cast("long")
+    for k in range(1, steps + 1):
+        node = F.when(at == k, prefix[k]).otherwise(node)
+    return counted.select("root", (node * (steps + 1) + at).alias("node"), size.alias("size"), "n", "sketch", "sid").where("size > 1")
+
+
+def within(rows: DataFrame, group: list[str], key: str, possible: Column | None = None) -> DataFrame:
+    """``x`` and ``y``, the keys of all pairs of rows of a group (of ``size`` rows) that are ``possible`` (over aliases a, b).
+
+    Groups of up to ``SPLIT`` rows are joined with themselves; larger ones are
+    cut into blocks, and every two blocks meet in a place of their own.
+    """
+    ok = F.lit(True) if possible is None else possible
+
+    def join(left: DataFrame, right: DataFrame, on: list[str], rule: Column) -> DataFrame:
+        a, b = left.alias("a"), right.alias("b")
+        same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in on]
+        cond = same[0]
+        for c in [*same[1:], rule, ok]:
+            cond = cond & c
+        return a.join(b, cond).select(F.least(f"a.{key}", f"b.{key}").alias("x"), F.greatest(f"a.{key}", f"b.{key}").alias("y"))
+
+    small = rows.where((F.col("size") > 1) & (F.col("size") <= SPLIT))
+    blocks = F.ceil(F.col("size") / SPLIT).cast("int")
+    hot = rows.where(F.col("size") > SPLIT).withColumn("block", F.pmod(F.xxhash64(key), blocks).cast("int"))
+    left = hot.select("*", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("low"), F.col("block").alias("high"))
+    right = hot.select("*", F.explode(F.sequence(F.col("block"), blocks - 1)).alias("high"), F.col("block").alias("low"))
+    rising = F.col(f"a.{key}") < F.col(f"b.{key}")
+    apart = (F.col("a.low") != F.col("a.high")) | rising
+    return join(small, small, group, rising).unionByName(join(left, right, [*group, "low", "high"], apart))
 
 
 def _possible(alike: float) -> Column:
@@ -115,49 +189,70 @@ def _possible(alike: float) -> Column:
     return (F.least(n, m) >= alike * F.greatest(n, m) - slack) & ((1 + alike) * differing <= (1 - alike) * (n + m) + slack)
 
 
-def near_duplicates(df: DataFrame, key: str, text: str, alike: float = ALIKE) -> tuple[DataFrame, DataFrame]:
-    """Classes of exact copies and links between them.
-
-    Returns ``members`` (class, id: one row for each record, the class being
-    its smallest id) and ``links`` (class_a < class_b, similarity).  Records
-    whose text is null, empty or without words are in no class; a record
-    delivered twice is one member; ties, other columns and empty tables do no
-    harm.  A pair just at the threshold is met with probability ``TARGET``.
-    """
-    k = depth(alike)
-    base = shared_table(signed(df, key, text, TREES, k))
-    members = base.select("set", "id").distinct().withColumn("class", F.min("id").over(_by("set"))).select("class", "id")
-    # one representative for each set: the smallest id, chosen with partial aggregation
-    reps = base.groupBy("set").agg(F.min(F.struct("id", "sketch", F.size("items").alias("n"), "prefixes")).alias("r")).select("r.*")
-    entries = reps.select("id", "sketch", "n", F.posexplode("prefixes").alias("tree", "prefix"))
-    a, b = entries.alias("a"), entries.alias("b")
-    met = a.join(b, (F.col("a.prefix") == F.col("b.prefix")) & (F.col("a.tree") == F.col("b.tree")) & (F.col("a.id") < F.col("b.id")) & _possible(alike))
-    pairs = met.select(F.col("a.id").alias("class_a"), F.col("b.id").alias("class_b")).distinct()
-    items = base.groupBy("id").agg(F.min("items").alias("items"))
-    with_a = pairs.join(items.withColumnRenamed("id", "class_a").withColumnRenamed("items", "items_a"), "class_a")
-    both = with_a.join(items.withColumnRenamed("id", "class_b").withColumnRenamed("items", "items_b"), "class_b")
-    links = both.select("class_a", "class_b", jaccard("items_a", "items_b").alias("similarity")).where(F.col("similarity") >= alike)
-    return members, links
+def jaccard(a: str, b: str) -> Column:
+    """Similarity of two columns of sorted distinct items."""
+    both = F.size(F.array_intersect(a, b))
+    return both / (F.size(a) + F.size(b) - both)
 
 
-def _by(column: str):
-    from pyspark.sql import Window
+def near_duplicates(df: DataFrame, key: str, text: str, alike: float = ALIKE) -> tuple[DataFrame, DataFrame]:
+    """``base`` (id, set: one row for each record and text) and ``links`` (set_a, set_b, similarity) between different sets.
 
-    return Window.partitionBy(column)
+    Records whose text is null, empty or without words are in no class; a
+    record delivered twice is one member, and with two texts a member of both
+    classes; ties, other columns and empty tables do no harm.  A pair just at
+    the threshold is met with probability ``TARGET`` or more.
+    """
+    most = depth(alike)
+    shorter = min(SHORTER, most - 1)
+    base = shared_table(word_sets(df, key, text))
+    sets = base.select("set", "words").dropDuplicates(["set"])
+    forest = nodes(labels(sets, TREES, most, shorter), shorter, SPARSE)
+    met = within(forest, ["root", "node"], "sid", _possible(alike)).distinct()
+    # the 64-bit number of a set only finds its row; the row brings the set itself
+    own = sets.select(_sid("set").alias("sid"), "set", "words")
+    with_a = met.join(own.select(F.col("sid").alias("x"), F.col("set").alias("set_a"), F.col("words").alias("words_a")), "x")
+    both = with_a.join(own.select(F.col("sid").alias("y"), F.col("set").alias("set_b"), F.col("words").alias("words_b")), "y")
+    links = both.select("set_a", "set_b", jaccard("words_a", "words_b").alias("similarity")).where(F.col("similarity") >= alike)
+    return base.select("id", "set").distinct(), links
+
+
+def _sid(column: str) -> Column:
+    """The first eight bytes of a binary column as a number."""
+    return F.conv(F.hex(F.substring(column, 1, 8)), 16, -10).cast("long")
+
+
+def classes(base: DataFrame, links: DataFrame) -> DataFrame:
+    """``id``, ``set``, ``class`` (smallest id of the set), ``size``, ``links`` (sets linked to it), ``salt``.
+
+    Sets of more than ``SPLIT`` records are met under salted keys, so that no
+    task gets them whole; ``salt`` is 0 for the others.
+    """
+    ends = links.select(F.explode(F.array("set_a", "set_b")).alias("set")).groupBy("set").agg(F.count(F.lit(1)).alias("links"))
+    sizes = base.groupBy("set").agg(F.min("id").alias("class"), F.count(F.lit(1)).alias("size")).join(ends, "set", "left").withColumn("links", F.coalesce("links", F.lit(0).cast("long")))
+    hot = sizes.where(F.col("size") > SPLIT).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    marked = base.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(hot, ["set", "salt"], "left")
+    rest = marked.where(F.col("size").isNull()).select("set", "id").join(sizes.where(F.col("size") <= SPLIT), "set").withColumn("salt", F.lit(0))
+    return marked.where(F.col("size").isNotNull()).unionByName(rest)
 
 
 def pairs(df: DataFrame, key: str, text: str, alike: float = ALIKE) -> DataFrame:
     """All pairs ``a`` < ``b`` of different records at least ``alike``, copies included; no row twice."""
-    members, links = near_duplicates(df, key, text, alike)
-    copies = members.alias("x").join(members.alias("y"), (F.col("x.class") == F.col("y.class")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    of_a = members.select(F.col("class").alias("class_a"), F.col("id").alias("ida"))
-    of_b = members.select(F.col("class").alias("class_b"), F.col("id").alias("idb"))
-    linked = links.join(of_a, "class_a").join(of_b, "class_b").where("ida != idb").select(F.least("ida", "idb").alias("a"), F.greatest("ida", "idb").alias("b"))
-    return copies.unionByName(linked).distinct()
+    base, links = near_duplicates(df, key, text, alike)
+    members = classes(base, links.limit(0))
+    copies = within(members.select("set", "id", "size"), ["set"], "id")
+    salts = lambda c: F.explode(F.when(c > SPLIT, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+    sizes = base.groupBy("set").agg(F.count(F.lit(1)).alias("size"))
+    linked = links.select("set_a", "set_b")
+    for side in ("a", "b"):
+        own = members.select(F.col("set").alias(f"set_{side}"), "salt", F.col("id").alias(f"id_{side}"))
+        known = sizes.select(F.col("set").alias(f"set_{side}"), "size")
+        linked = linked.join(known, f"set_{side}").withColumn("salt", salts(F.col("size"))).drop("size").join(own, [f"set_{side}", "salt"]).drop("salt")
+    linked = linked.where("id_a != id_b").select(F.least("id_a", "id_b").alias("x"), F.greatest("id_a", "id_b").alias("y"))
+    return copies.unionByName(linked).distinct().select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
 def groups(df: DataFrame, key: str, text: str, alike: float = ALIKE) -> DataFrame:
-    """One row for each record: ``id``, ``class`` and the number of ``links`` of its class to other classes."""
-    members, links = near_duplicates(df, key, text, alike)
-    ends = links.select(F.explode(F.array("class_a", "class_b")).alias("class")).groupBy("class").agg(F.count(F.lit(1)).alias("links"))
-    return members.join(ends, "class", "left").select("id", "class", F.coalesce("links", F.lit(0)).alias("links"))
+    """One row for each record and text: ``id``, ``class`` (smallest id with the same words), ``size`` of the class and the number of ``links`` to other classes."""
+    base, links = near_duplicates(df, key, text, alike)
+    return classes(base, links).select("id", "class", "size", "links")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, leakage, neardup, pairs, scannoise, textform, tokenizer, truncation
+from . import language, leakage, neardup, pairs, scannoise, sql, textform, tokenizer, truncation
 from .common import table
 
 
@@ -48,6 +48,12 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("a").alias("exercise_a"), F.col("b").alias("exercise_b"))
 
 
+def p3_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of each exercise: smallest id with the same words, size, and number of near classes."""
+    found = neardup.groups(table(spark, sf_dir, "exercise"), "exercise_id", "question")
+    return found.select(F.col("id").alias("exercise_id"), F.col("class").alias("class_id"), F.col("size").alias("class_size"), "links")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Defects of question and answer pairs; the language model is fitted on labelled documents."""
     model = language.fit(table(spark, sf_dir, "documents"), "text", "lang", "doc_id")
@@ -69,10 +75,23 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenizer.encode_table(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_item"), "item_id", ["question", "answer"])
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with passages of test items."""
-    found = leakage.leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_item"), "item_id", ["question", "answer"])
-    return found.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"))
+    return _leaks(spark, sf_dir).select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"))
+
+
+def p7_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest match of each document and item, with its places in both."""
+    return _leaks(spark, sf_dir).withColumnsRenamed({"doc": "doc_id", "item": "item_id"})
+
+
+def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that remain without leaks."""
+    return leakage.without_leaks(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", _leaks(spark, sf_dir))
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,4 +104,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.oracle_sql()

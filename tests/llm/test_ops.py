@@ -100,7 +100,39 @@ def test_near_duplicates_against_brute_force(spark):
     assert {(r.a, r.b) for r in neardup.pairs(df, "id", "t").collect()} == want
     groups = {r.id: r for r in neardup.groups(df, "id", "t").collect()}
     assert set(groups) == set(sets)
+    keys = {i: frozenset(s) for i, s in sets.items()}
+    for i, g in groups.items():
+        assert g["class"] == min(j for j in keys if keys[j] == keys[i]) and g["size"] == sum(k == keys[i] for k in keys.values())
+        assert g.links == len({keys[b if a == i else a] for a, b in want if i in (a, b)} - {keys[i]})
     assert neardup.pairs(df.limit(0), "id", "t").count() == 0
+    assert neardup.groups(df.limit(0), "id", "t").count() == 0
+
+
+def test_records_delivered_with_two_texts(spark):
+    a = "một hai ba bốn năm sáu bảy tám chín mười"
+    b = "Tính diện tích của hình thang cân có đáy lớn dài gấp đôi"
+    df = spark.createDataFrame([(1, a), (1, b), (2, a + " mốt"), (3, b + " nhỏ"), (4, b)], "id long, t string")
+    assert sorted((r.a, r.b) for r in neardup.pairs(df, "id", "t").collect()) == [(1, 2), (1, 3), (1, 4), (3, 4)]
+    assert sorted((r.id, r["class"], r.links) for r in neardup.groups(df, "id", "t").collect()) == [(1, 1, 1), (1, 1, 1), (2, 2, 1), (3, 3, 1), (4, 1, 1)]
+
+
+def test_hot_groups_are_split(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SPLIT", 4)
+    w = [f"từ{i}" for i in range(40)]
+    texts = [" ".join(w)] * 15 + [" ".join([*w[:39], f"x{i}"]) for i in range(20)] + [" ".join(reversed(w))] * 3
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    assert {(r.a, r.b) for r in neardup.pairs(df, "id", "t").collect()} == {(a, b) for a in range(38) for b in range(a + 1, 38)}
+    groups = neardup.groups(df, "id", "t").collect()
+    assert len(groups) == 38 and {(r["class"], r["size"], r.links) for r in groups if r["size"] > 1} == {(0, 18, 20)}
+
+
+def test_nodes_of_the_forest(spark):
+    rows = [(1, r, 5, 0, i) for i, r in enumerate([0x10001, 0x10001, 0x10002, 0x20001])] + [(2, 7, 5, 0, 9), (3, 0x10001, 5, 0, 10), (3, 0x90001, 5, 0, 11)]
+    df = spark.createDataFrame(rows, "root long, rest long, n int, sketch long, sid long")
+    met = lambda sparse: sorted((r.x, r.y) for r in neardup.within(neardup.nodes(df, 2, sparse), ["root", "node"], "sid").collect())
+    assert met(4) == [(0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3), (10, 11)]  # small trees meet at their roots
+    assert met(3) == [(0, 1), (0, 2), (1, 2), (10, 11)]  # a crowded root meets below
+    assert met(1) == [(0, 1)]  # no longer than the whole prefix
 
 
 def test_no_candidate_at_the_threshold_is_discarded(spark):
@@ -266,11 +298,36 @@ def test_leaks_against_brute_force(spark):
     e = spark.createDataFrame(items, "item long, q string, a string")
     found = leakage.leaks(d, "doc", "text", e, "item", ["q", "a"])
     assert {(r.doc, r.item) for r in found.collect()} == want and want
+    assert {(r.doc, r.item) for r in leakage.leaks(d, "doc", "text", e, "item", ["q", "a"], block=40).collect()} == want  # several passes
     assert {r.doc for r in leakage.without_leaks(d, "doc", found).collect()} == {i for i, _ in docs} - {i for i, _ in want}
+    # the longest matches and their places
+    text, own = dict(docs), {(i, k): leakage.words(t) for i, *ts in items for k, t in enumerate(ts)}
+    for r in found.collect():
+        x = leakage.words(text[r.doc])
+        longest = max(n for k in (0, 1) for y in [own[r.item, k]] for p in range(len(x)) for s in range(len(y)) for n in [next((n for n in range(61) if p + n >= len(x) or s + n >= len(y) or x[p + n] != y[s + n]), 61)])
+        assert r.length == longest and x[r.in_doc : r.in_doc + longest] == own[r.item, r.field][r.in_text : r.in_text + longest]
     assert leakage.leaks(d.limit(0), "doc", "text", e, "item", ["q", "a"]).count() == 0
     assert leakage.leaks(d, "doc", "text", e.limit(0), "item", ["q", "a"]).count() == 0
 
 
+def test_words_of_leaks():
+    plain = leakage.words("dài 5 μm, góc α và ΔT ở đây")
+    for same in ("DÀI 5 ΜM, GÓC Α VÀ ΔT Ở ĐÂY", "dai 5 µm goc α va δt o day", "ｄài\u00a05\u200b μm góc α và Δt ở đâу"):
+        assert leakage.words(same) == plain
+    assert leakage.words("CO₂ Ⅷ") == leakage.words("co2 VIII") and leakage.words(None) == []
+
+
+def test_suffix_array():
+    draw = np.random.default_rng(5)
+    for n, k in ((1, 2), (30, 2), (400, 3), (400, 40)):
+        a = np.concatenate([draw.integers(0, k, n), np.zeros(8, np.int64)])
+        at = np.flatnonzero(a)
+        end = [int(np.flatnonzero(a[i:] == 0)[0]) + i for i in at]
+        suffix = {i: a[i:e].tolist() for i, e in zip(at.tolist(), end)}
+        got = leakage.suffix_array(a, at, 500).tolist()
+        assert sorted(got) == at.tolist() and [suffix[i] for i in got] == sorted(suffix.values())
+
+
 # --- 8 ---------------------------------------------------------------------------------------------------------------
 
 
