@@ -136,23 +136,71 @@ def labels(sets: DataFrame, trees: int, most: int, shorter: int) -> DataFrame:
 
 
 def nodes(entries: DataFrame, steps: int, sparse: int) -> DataFrame:
-    """``entries`` with the ``node`` of the trie at which each class meets others, and the ``size`` of its subtree.
+    """``entries`` with the ``node`` of the trie at which each class meets others, and the ``size`` of its subtree; the rows of a node stand together.
 
     All counts are windows over one partitioning by root; a root's rows are of
     fixed size and are only counted.
     """
-    prefix = [F.shiftright("rest", 16 * (steps - k)) for k in range(steps + 1)]
-    counted = entries
+    counted = entries.withColumns({f"p{k}": F.shiftright("rest", 16 * (steps - k)) for k in range(1, steps + 1)})
     for k in range(steps, -1, -1):  # the longest prefix first: its order serves the shorter ones
-        counted = counted.withColumn(f"c{k}", F.count(F.lit(1)).over(Window.partitionBy("root", *[prefix[j] for j in range(1, k + 1)])))
-    at, size = F.lit(steps), F.col(f"c{steps}")
+        counted = counted.withColumn(f"c{k}", F.count(F.lit(1)).over(Window.partitionBy("root", *[f"p{j}" for j in range(1, k + 1)])))
+    at, size, node = F.lit(steps), F.col(f"c{steps}"), F.col(f"p{steps}") if steps else F.lit(0).cast("long")
     for k in range(steps - 1, -1, -1):
         small = F.col(f"c{k}") <= sparse
-        at, size = F.when(small, F.lit(k)).otherwise(at), F.when(small, F.col(f"c{k}")).otherwise(size)
-    node = F.lit(0).cast("long")
-    for k in range(1, steps + 1):
-        node = F.when(at == k, prefix[k]).otherwise(node)
-    return counted.select("root", (node * (steps + 1) + at).alias("node"), size.alias("size"), "n", "sketch", "sid").where("size > 1")
+        at, size, node = F.when(small, F.lit(k)).otherwise(at), F.when(small, F.col(f"c{k}")).otherwise(size), F.when(small, F.col(f"p{k}") if k else F.lit(0).cast("long")).otherwise(node)
+    own = counted.select("root", (node * (steps + 1) + at).alias("node"), size.alias("size"), "n", "sketch", "sid").where("size > 1")
+    return own.sortWithinPartitions("root", "node")
+
+
+_MET = "x long, y long, root long, node long, size long, n int, sketch long"
+
+
+def meet(forest: DataFrame, alike: float) -> DataFrame:
+    """Possible pairs ``x``, ``y`` below the nodes of a forest; rows of nodes of over ``SPLIT`` classes come out as they are, with a null ``y``."""
+    split = SPLIT
+
+    def pairs_of(c: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        root, node, _, n, sketch, sid = c
+        begin = np.flatnonzero(np.concatenate([[True], (root[1:] != root[:-1]) | (node[1:] != node[:-1])]))
+        size = np.diff([*begin, len(root)])
+        # each row meets those after it in its node
+        after = np.repeat(begin + size, size) - np.arange(len(root)) - 1
+        i = np.repeat(np.arange(len(root)), after)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(after) - after, after)
+        low, high = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+        i, j = (v[low >= alike * high - 1e-6] for v in (i, j))
+        differing = np.bitwise_count(sketch[i].view(np.uint64) ^ sketch[j].view(np.uint64)).astype(np.int64)
+        ok = ((1 + alike) * differing <= (1 - alike) * (n[i].astype(np.int64) + n[j]) + 1e-6) & (sid[i] != sid[j])
+        return np.minimum(sid[i], sid[j])[ok], np.maximum(sid[i], sid[j])[ok]
+
+    def out(x, y, rest: list[np.ndarray] | None) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+        own = [pa.nulls(len(x), k) for k in kinds] if rest is None else [pa.array(v, k) for v, k in zip(rest, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.nulls(len(x), pa.int64()) if y is None else pa.array(y, pa.int64()), *own], names=["x", "y", "root", "node", "size", "n", "sketch"])
+
+    def run(batches):
+        held: list[np.ndarray] | None = None  # the last node so far, of ``split`` rows at most
+        for b in batches:
+            if not b.num_rows:
+                continue
+            c = [b.column(k).to_numpy(zero_copy_only=False) for k in range(6)]
+            hot = c[2] > split
+            if hot.any():
+                yield out(c[5][hot], None, [v[hot] for v in c[:5]])
+                c = [v[~hot] for v in c]
+            if held is not None:
+                c = [np.concatenate([h, v]) for h, v in zip(held, c, strict=True)]
+            if not len(c[0]):
+                continue
+            last = (c[0] == c[0][-1]) & (c[1] == c[1][-1])
+            cut = len(last) - int(last[::-1].argmin()) if not last.all() else 0
+            held = [v[cut:] for v in c]
+            if cut:
+                yield out(*pairs_of([v[:cut] for v in c]), None)
+        if held is not None and len(held[0]):
+            yield out(*pairs_of(held), None)
+
+    return forest.mapInArrow(run, _MET)
 
 
 def within(rows: DataFrame, group: list[str], key: str, possible: Column | None = None) -> DataFrame:
@@ -207,8 +255,9 @@ def near_duplicates(df: DataFrame, key: str, text: str, alike: float = ALIKE) ->
     shorter = min(SHORTER, most - 1)
     base = shared_table(word_sets(df, key, text))
     sets = base.select("set", "words").dropDuplicates(["set"])
-    forest = nodes(labels(sets, TREES, most, shorter), shorter, SPARSE)
-    met = within(forest, ["root", "node"], "sid", _possible(alike)).distinct()
+    found = shared_table(meet(nodes(labels(sets, TREES, most, shorter), shorter, SPARSE), alike))
+    hot = found.where(F.col("y").isNull()).drop("y").withColumnRenamed("x", "sid")
+    met = found.where(F.col("y").isNotNull()).select("x", "y").unionByName(within(hot, ["root", "node"], "sid", _possible(alike))).distinct()
     # the 64-bit number of a set only finds its row; the row brings the set itself
     own = sets.select(_sid("set").alias("sid"), "set", "words")
     with_a = met.join(own.select(F.col("sid").alias("x"), F.col("set").alias("set_a"), F.col("words").alias("words_a")), "x")
@@ -239,15 +288,14 @@ def classes(base: DataFrame, links: DataFrame) -> DataFrame:
 def pairs(df: DataFrame, key: str, text: str, alike: float = ALIKE) -> DataFrame:
     """All pairs ``a`` < ``b`` of different records at least ``alike``, copies included; no row twice."""
     base, links = near_duplicates(df, key, text, alike)
-    members = classes(base, links.limit(0))
-    copies = within(members.select("set", "id", "size"), ["set"], "id")
-    salts = lambda c: F.explode(F.when(c > SPLIT, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
-    sizes = base.groupBy("set").agg(F.count(F.lit(1)).alias("size"))
+    members = shared_table(classes(base, links.limit(0)).select("set", "id", "size", "salt"))
+    copies = within(members, ["set"], "id")
+    hot = members.where(F.col("size") > SPLIT).select("set").distinct().withColumn("salts", F.sequence(F.lit(0), F.lit(SALTS - 1)))
     linked = links.select("set_a", "set_b")
     for side in ("a", "b"):
-        own = members.select(F.col("set").alias(f"set_{side}"), "salt", F.col("id").alias(f"id_{side}"))
-        known = sizes.select(F.col("set").alias(f"set_{side}"), "size")
-        linked = linked.join(known, f"set_{side}").withColumn("salt", salts(F.col("size"))).drop("size").join(own, [f"set_{side}", "salt"]).drop("salt")
+        named = lambda d: d.withColumnsRenamed({"set": f"set_{side}", "id": f"id_{side}"})  # noqa: B023, E731
+        salted = linked.join(named(hot), f"set_{side}", "left").withColumn("salt", F.explode(F.coalesce("salts", F.array(F.lit(0))))).drop("salts")
+        linked = salted.join(named(members.select("set", "salt", "id")), [f"set_{side}", "salt"]).drop("salt")
     linked = linked.where("id_a != id_b").select(F.least("id_a", "id_b").alias("x"), F.greatest("id_a", "id_b").alias("y"))
     return copies.unionByName(linked).distinct().select(F.col("x").alias("a"), F.col("y").alias("b"))
 

@@ -129,7 +129,7 @@ def test_hot_groups_are_split(spark, monkeypatch):
 def test_nodes_of_the_forest(spark):
     rows = [(1, r, 5, 0, i) for i, r in enumerate([0x10001, 0x10001, 0x10002, 0x20001])] + [(2, 7, 5, 0, 9), (3, 0x10001, 5, 0, 10), (3, 0x90001, 5, 0, 11)]
     df = spark.createDataFrame(rows, "root long, rest long, n int, sketch long, sid long")
-    met = lambda sparse: sorted((r.x, r.y) for r in neardup.within(neardup.nodes(df, 2, sparse), ["root", "node"], "sid").collect())
+    met = lambda sparse: sorted((r.x, r.y) for r in neardup.meet(neardup.nodes(df, 2, sparse), 0.8).collect())
     assert met(4) == [(0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3), (10, 11)]  # small trees meet at their roots
     assert met(3) == [(0, 1), (0, 2), (1, 2), (10, 11)]  # a crowded root meets below
     assert met(1) == [(0, 1)]  # no longer than the whole prefix
