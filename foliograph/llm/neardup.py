@@ -73,7 +73,7 @@ def word_set(text: str | None, memo: _Words) -> list[str]:
 
 
 def word_sets(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``id``, ``words`` (sorted, distinct) and ``set`` (their 128-bit hash) of each record; records without words left out."""
+    """``id``, ``words`` (sorted, distinct, parted by blanks) and ``set`` (their 128-bit hash) of each record; records without words left out."""
     src = spread(df.select(F.col(key).alias("id"), F.col(text).alias("text")))
     kind = src.schema["id"].dataType.simpleString()
     memo = _Words()
@@ -82,13 +82,13 @@ def word_sets(df: DataFrame, key: str, text: str) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
                 part = whole.slice(at, 2000)
-                sets = [word_set(t, memo) for t in part.column(1).to_pylist()]
+                sets = [" ".join(word_set(t, memo)) for t in part.column(1).to_pylist()]
                 keep = [i for i, s in enumerate(sets) if s]
                 if keep:
-                    own = [xxhash.xxh3_128_digest("\n".join(sets[i])) for i in keep]
-                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(keep)), pa.array([sets[i] for i in keep], pa.list_(pa.string())), pa.array(own, pa.binary())], names=["id", "words", "set"])
+                    own = [xxhash.xxh3_128_digest(sets[i]) for i in keep]
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(keep)), pa.array([sets[i] for i in keep], pa.string()), pa.array(own, pa.binary())], names=["id", "words", "set"])
 
-    return src.mapInArrow(run, f"id {kind}, words array<string>, set binary")
+    return src.mapInArrow(run, f"id {kind}, words string, set binary")
 
 
 def parities(sets: list[np.ndarray]) -> np.ndarray:
@@ -121,7 +121,7 @@ def labels(sets: DataFrame, trees: int, most: int, shorter: int) -> DataFrame:
             for at in range(0, whole.num_rows, 1000):
                 part = whole.slice(at, 1000)
                 # equal hashes of different words may only bring more candidates: a set of hashes loses none
-                sets = [np.array([hashes[w] for w in ws], np.int64) for ws in part.column(1).to_pylist()]
+                sets = [np.array([hashes[w] for w in ws.split(" ")], np.int64) for ws in part.column(1).to_pylist()]
                 own = np.array([int.from_bytes(x[:8], "big", signed=True) for x in part.column(0).to_pylist()], np.int64)
                 sig = minhash.signatures([s.astype(np.uint64) for s in sets], a, b).astype(np.uint64).reshape(len(sets), trees, most)
                 mixed = (sig[:, :, :least] * weights).sum(2, dtype=np.uint64) + salt
@@ -237,7 +237,7 @@ def _possible(alike: float) -> Column:
     return (F.least(n, m) >= alike * F.greatest(n, m) - slack) & ((1 + alike) * differing <= (1 - alike) * (n + m) + slack)
 
 
-def jaccard(a: str, b: str) -> Column:
+def jaccard(a: Column, b: Column) -> Column:
     """Similarity of two columns of sorted distinct items."""
     both = F.size(F.array_intersect(a, b))
     return both / (F.size(a) + F.size(b) - both)
@@ -262,7 +262,7 @@ def near_duplicates(df: DataFrame, key: str, text: str, alike: float = ALIKE) ->
     own = sets.select(_sid("set").alias("sid"), "set", "words")
     with_a = met.join(own.select(F.col("sid").alias("x"), F.col("set").alias("set_a"), F.col("words").alias("words_a")), "x")
     both = with_a.join(own.select(F.col("sid").alias("y"), F.col("set").alias("set_b"), F.col("words").alias("words_b")), "y")
-    links = both.select("set_a", "set_b", jaccard("words_a", "words_b").alias("similarity")).where(F.col("similarity") >= alike)
+    links = both.select("set_a", "set_b", jaccard(F.split("words_a", " "), F.split("words_b", " ")).alias("similarity")).where(F.col("similarity") >= alike)
     return base.select("id", "set").distinct(), links
 
 
