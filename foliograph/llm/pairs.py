@@ -1,10 +1,11 @@
 """Problem 4: broken prompt and response pairs.
 
-One pass over the pairs finds empty, cut, copied and wrong-language answers.
-Refusals show as templates: first sentences of answers that carry no content
-of their own are clustered by their first words and by MinHash over the whole
-sentence (verified), and a cluster that answers unrelated prompts and declines
-is a refusal template.
+One pass over the pairs finds empty, copied and wrong-language answers, and
+parts every answer into sentences.  Refusals show as templates: the sentences
+of answers without any content of their own are clustered by MinHash, verified
+by their runs of words; a cluster that recurs over unrelated prompts and does
+not occur in answers with content is a template, and an answer made of
+templates alone declines.  No word list takes part in that.
 """
 
 from __future__ import annotations
@@ -22,14 +23,14 @@ from . import minhash
 from .common import shared_table
 from .language import LANGUAGES, Identifier, Model
 from .textform import plain_form
-from .truncation import with_cut
+from .truncation import judged as judged_cuts
 
 #: Shares of answer and question words in common that make a copy; words of a copy at least.
 COPY_OF_ANSWER, COPY_OF_QUESTION, COPY_WORDS = 0.83, 0.45, 8
 #: Similarity of sentences by runs of SHINGLE words: what is declined and why may differ.  Two just so alike are met with probability 0.999.
 ALIKE, SHINGLE, BANDS, ROWS = 0.4, 2, 40, 2
-#: Words of an answer's opening, which recurs whatever is declined and why.
-OPENING = 5
+#: Words of a sentence that can be a template; share of its occurrences that may stand in answers with content.
+SENTENCE, ELSEWHERE = 4, 0.1
 #: Share of common words from which two prompts are related.
 RELATED = 0.5
 #: Log-likelihood by which another language must win; words of an answer's sentences at least.
@@ -41,18 +42,11 @@ EMPTY = (
     "n/a|na|null|none|nil|nan|tbd|todo|dang cap nhat|chua co dap an|chua co loi giai|khong co dap an|khong co loi giai|khong co|chua co|trong|bo trong|de trong|"
     "empty|blank|no answer|not available|updating|vide|vacio|leer"
 )
-# Words by which an answer declines, folded to unaccented lower case.
-DECLINE = (
-    "xin loi|rat tiec|khong the(?! co\\b)|chua the(?! co\\b)|tu choi|xin phep khong|chua co kha nang|khong du kha nang|khong co kha nang|khong ho tro|"
-    "sorry|cannot|can't|can not|unable|decline|not able to|won't|must refuse|apologi[sz]e|"
-    "desole|regrette|ne peux pas|ne puis|impossible de|incapable|refuse|lo siento|no puedo|lamento|leider|tut mir leid|nicht moglich|kann ich nicht|kann nicht"
-)
-
 _WORD = re.compile(r"[^\W_]+")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _BOX = re.compile(r"\\(?:boxed|text|mathrm|displaystyle|quad)\b")
 _HEADING = re.compile(rf"^\W*(?:{EMPTY})\W*$")
-_DECLINE = re.compile(rf"\b(?:{DECLINE})\b")
+_POINTS = re.compile(r"(?<![^\W_])[A-Z]{2,}(?![^\W_])")
 _ASKED = re.compile(r"tieng\s+(\w+)|\b(?:in|into|to)\s+(english|french|german|spanish|vietnamese)|\ben\s+(anglais|francais|allemand|espagnol|vietnamien)|\bauf\s+(\w+)|\ben\s+(ingles|frances|aleman|espanol|vietnamita)")
 # Beginnings of language names in requests.
 _NAMED = {"an": "en", "ar": "en", "ph": "fr", "du": "de", "ta": "es", "vi": "vi", "en": "en", "fr": "fr", "ge": "de", "sp": "es", "al": "de", "es": "es", "in": "en", "de": "de"}
@@ -89,19 +83,36 @@ def asked(question: str) -> set[str]:
     return {code for m in _ASKED.finditer(folded(question)) for g in m.groups() if g and (code := _NAMED.get(g[:2]))}
 
 
-def opening(answer: str) -> tuple[str, bool] | None:
-    """First sentence of an answer without content of its own (numbers, formulas, names of points) as words, and whether it declines."""
-    said = re.sub(r'"[^"]*("|$)|“[^”]*(”|$)', " … ", answer)  # what is quoted is nobody's refusal
-    t = folded(said)
-    if re.search(r"\d|[$=\\]", t) or re.search(r"(?<![^\W_])[A-Z]{2,}(?![^\W_])", said):
-        return None
-    lines = [x.strip() for x in re.split(r"(?<=[.!?:])\s+|\n", t) if _LETTERS.search(x) and not _HEADING.match(x)]
-    words = _LETTERS.findall(lines[0]) if lines else []
-    return (" ".join(words), bool(_DECLINE.search(lines[0]))) if len(words) >= 4 else None
+def has_content(raw: str, low: str) -> bool:
+    """Whether a text says something of its own: numbers, formulas, quotations, names of points, or full names within a sentence (``low``: the folded text)."""
+    if re.search(r"[\d$=\\\"“”«»]", low) or _POINTS.search(raw):
+        return True
+    words = raw.split()
+    return any(a[:1].isupper() and b[:1].isupper() and before[-1:].isalpha() for before, a, b in zip(words, words[1:], words[2:]))
+
+
+def sentences(answer: str) -> list[tuple[str, str, bool]]:
+    """Sentences and lines of an answer without headings: raw text, words, and whether it ends with a terminator."""
+    out = []
+    for x in re.split(r"(?<=[.!?:])\s+|\n", answer):
+        low = folded(x)
+        if _LETTERS.search(low) and not _HEADING.match(low.replace("*", " ").replace("#", " ").strip()):
+            out.append((x, " ".join(_LETTERS.findall(low)), x.rstrip(" *_\"”»)").endswith((".", "!", "?"))))
+    return out
+
+
+def spoken(answer: str) -> tuple[list[tuple[str, bool]] | None, list[int]]:
+    """Of an answer without content its sentences (words, whole or not), else null; of one with content the hashes of its whole sentences without content."""
+    if has_content(answer, answer):
+        own = [x for x in re.split(r"(?<=[.!?:])\s+|\n", answer) if x.count(" ") >= SENTENCE - 1 and x.rstrip().endswith((".", "!", "?")) and not has_content(x, x)]
+        said = [(" ".join(_LETTERS.findall(folded(x)))) for x in own]
+        return None, [minhash.xxhash.xxh64_intdigest(x) - (1 << 63) for x in said if x.count(" ") >= SENTENCE - 1]
+    said = [(w, whole) for _, w, whole in sentences(answer) if w.count(" ") >= SENTENCE - 1]
+    return said or None, []
 
 
 def judge(df: DataFrame, key: str, question: str, answer: str, model: Model) -> DataFrame:
-    """``key``, ``defects`` found in the pair alone and, of answers that may be a refusal, the first ``sentence``, whether it ``declines``, and the words of the ``prompt`` (hashes)."""
+    """``key``, ``defects`` found in the pair alone, ``said`` (sentences of an answer without content), ``elsewhere`` (hashes of such sentences in an answer with content), ``prompt`` (hashes of its words, where ``said`` isn't null)."""
     sent = df.sparkSession.sparkContext.broadcast(model)
     kind = df.schema[key].dataType.simpleString()
     held: list[Identifier] = []
@@ -116,19 +127,21 @@ def judge(df: DataFrame, key: str, question: str, answer: str, model: Model) ->
                 langs = [held[0].batch(qs), held[0].batch(ans)]
                 out = []
                 for q, a, ql, al in zip(qs, ans, *langs, strict=True):
-                    d = []
+                    d, said, elsewhere = [], None, []
                     if is_empty(a):
                         d.append("empty")
                     else:
                         if is_copy(q, a):
                             d.append("copy")
+                        else:
+                            said, elsewhere = spoken(a)
                         if ql and al and _other_language(q, ql, al):
                             d.append("wrong_language")
-                    out.append((d, (None if d[:1] in (["empty"], ["copy"]) else opening(a)) or (None, None)))
-                prompts = [None if o is None else sorted({minhash.hash31(w) for w in repaired_words(q)}) for q, (_, (o, _)) in zip(qs, out, strict=True)]
-                yield pd.DataFrame({key: p.iloc[:, 0].to_numpy(), "defects": [d for d, _ in out], "sentence": [o for _, (o, _) in out], "declines": [x for _, (_, x) in out], "prompt": prompts})
+                    prompt = None if said is None else sorted({minhash.hash31(w) for w in repaired_words(q)})
+                    out.append((d, None if said is None else [{"words": w, "whole": e} for w, e in said], elsewhere, prompt))
+                yield pd.DataFrame({key: p.iloc[:, 0].to_numpy(), **{name: [r[k] for r in out] for k, name in enumerate(("defects", "said", "elsewhere", "prompt"))}})
 
-    return df.where(F.col(answer).isNotNull()).select(key, question, answer).mapInPandas(run, f"`{key}` {kind}, defects array<string>, sentence string, declines boolean, prompt array<int>")
+    return df.where(F.col(answer).isNotNull()).select(key, question, answer).mapInPandas(run, f"`{key}` {kind}, defects array<string>, said array<struct<words:string,whole:boolean>>, elsewhere array<long>, prompt array<int>")
 
 
 def _other_language(question: str, q: tuple, a: tuple) -> bool:
@@ -145,19 +158,27 @@ def _alike(a: str, b: str, share: float):
     return F.size(F.array_intersect(a, b)) >= share * F.size(F.array_union(a, b))
 
 
-def _tally(rows: DataFrame, by: str) -> DataFrame:
-    """Sums of ``n`` and ``declining`` for each ``by``, one ``prompt``, and whether the prompts are ``varied``: another is unrelated to that one."""
-    one = rows.groupBy(by).agg(F.min("prompt").alias("first"))
-    varied = F.col("varied") | ~_alike("prompt", "first", RELATED)
-    return rows.join(one, by).groupBy(by).agg(F.sum("n").alias("n"), F.sum("declining").alias("declining"), F.first("first").alias("prompt"), F.bool_or(varied).alias("varied"))
+def recurring(said: DataFrame) -> DataFrame:
+    """``words`` of each sentence with ``n`` (answers), ``whole``, one ``prompt``, and whether its prompts are ``varied``: another is unrelated to that one.
+
+    ``said``: words, whole, prompt, one row for each sentence of an answer.
+    Each sentence is first summed up in a bounded number of shares, of which
+    only the extreme prompts go on; a sentence of few answers has each prompt.
+    """
+    share = F.pmod(F.xxhash64("prompt"), F.lit(64)).alias("share")
+    part = said.groupBy("words", share).agg(F.count(F.lit(1)).alias("n"), F.bool_or("whole").alias("whole"), F.min("prompt").alias("low"), F.max("prompt").alias("high"))
+    first = part.groupBy("words").agg(F.min("low").alias("prompt"))
+    varied = ~_alike("low", "prompt", RELATED) | ~_alike("high", "prompt", RELATED)
+    return part.join(first, "words").groupBy("words").agg(F.sum("n").alias("n"), F.bool_or("whole").alias("whole"), F.first("prompt").alias("prompt"), F.bool_or(varied).alias("varied"))
 
 
-def refusal_sentences(maybe: DataFrame) -> DataFrame:
-    """``sentence`` of refusal templates; ``maybe`` has one row for each answer: sentence, declines, prompt.
+def templates(said: DataFrame, elsewhere: DataFrame) -> DataFrame:
+    """``words`` of the sentences that belong to a template.
 
-    Clusters are the sentences of one opening, and stars: a sentence and all
-    that are verified to be alike.  Either is a template if its prompts are
-    unrelated and at least half of its answers decline.
+    ``elsewhere``: hash, n of sentences in answers with content.  Sentences
+    that share a band are compared with the band's most frequent whole one; a
+    pivot and all that are verified to be alike are a cluster, and a sentence
+    belongs to each of its pivots' clusters.
     """
     a, b = minhash.coefficients(BANDS * ROWS)
 
@@ -165,37 +186,44 @@ def refusal_sentences(maybe: DataFrame) -> DataFrame:
         for f in frames:
             if not len(f):
                 continue
-            sets = [np.array(sorted({minhash.hash31(s) for s in minhash.shingles(o.split(), SHINGLE)}), np.uint64) for o in f["sentence"]]
+            sets = [np.array(sorted({minhash.hash31(s) for s in minhash.shingles(o.split(), SHINGLE)}), np.uint64) for o in f["words"]]
             sig = minhash.signatures(sets, a, b).reshape(len(f), BANDS, ROWS)
             bands = [[hash((k, *row.tolist())) for k, row in enumerate(x)] for x in sig]
-            yield f.assign(bands=bands, items=[s.astype(np.int64).tolist() for s in sets])
-
-    template = F.col("varied") & (2 * F.col("declining") >= F.col("n"))
-    rows = maybe.select("sentence", "prompt", F.lit(1).cast("long").alias("n"), F.col("declines").cast("long").alias("declining"), F.lit(False).alias("varied"))
-    kind = "sentence string, n long, declining long, prompt array<int>, varied boolean, bands array<long>, items array<long>"
-    s = shared_table(_tally(rows, "sentence").mapInPandas(sign, kind)).withColumn("opening", F.substring_index("sentence", " ", OPENING))
-    openings = _tally(s.select("opening", "n", "declining", "prompt", "varied"), "opening").where(template).select("opening")
-    by_opening = s.join(openings, "opening", "left_semi").select("sentence")
-    x = s.join(openings, "opening", "left_anti").select("sentence", F.col("prompt").alias("first"), "items", F.explode("bands").alias("band"))
-    y = s.select(F.col("sentence").alias("other"), F.col("items").alias("other_items"), "n", "declining", "prompt", "varied", F.explode("bands").alias("band"))
-    met = x.join(y, "band").where(_alike("items", "other_items", ALIKE)).dropDuplicates(["sentence", "other"])
+            yield f.assign(bands=bands, items=[s.astype(np.int64).tolist() for s in sets], hash=[minhash.xxhash.xxh64_intdigest(o) - (1 << 63) for o in f["words"]])
+
+    kind = "words string, n long, whole boolean, prompt array<int>, varied boolean, bands array<long>, items array<long>, hash long"
+    s = shared_table(recurring(said).mapInPandas(sign, kind).join(elsewhere.select("hash", F.col("n").alias("elsewhere")), "hash", "left").fillna(0, "elsewhere"))
+    entries = s.select("words", "n", "whole", F.explode("bands").alias("band"))
+    pivots = entries.where("whole").groupBy("band").agg(F.max(F.struct("n", "words")).alias("p")).select("band", F.col("p.words").alias("pivot"))
+    met = entries.join(pivots, "band").select("words", "pivot").distinct()
+    own = met.join(s.select("words", "n", "elsewhere", "prompt", "varied", "items"), "words")
+    other = s.select(F.col("words").alias("pivot"), F.col("items").alias("pivot_items"), F.col("prompt").alias("first"))
+    members = own.join(other, "pivot").where(_alike("items", "pivot_items", ALIKE))
     varied = F.col("varied") | ~_alike("prompt", "first", RELATED)
-    stars = met.groupBy("sentence").agg(F.sum("n").alias("n"), F.sum("declining").alias("declining"), F.bool_or(varied).alias("varied"))
-    return by_opening.unionByName(stars.where(template).select("sentence"))
+    clusters = members.groupBy("pivot").agg(F.sum("n").alias("n"), F.sum("elsewhere").alias("elsewhere"), F.bool_or(varied).alias("varied"))
+    good = clusters.where(F.col("varied") & (F.col("elsewhere") <= ELSEWHERE * F.col("n"))).select("pivot")
+    return members.select("pivot", "words").join(good, "pivot", "left_semi").select("words").distinct()
+
+
+def refusals(judged: DataFrame, key: str) -> DataFrame:
+    """``key`` of answers without content whose whole sentences are all templates, and one sentence at least is."""
+    said = judged.where(F.col("said").isNotNull()).select(key, "prompt", F.monotonically_increasing_id().alias("answer"), F.explode("said").alias("x")).select(key, "answer", "prompt", "x.words", "x.whole")
+    elsewhere = judged.select(F.explode("elsewhere").alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+    known = templates(said.select("words", "whole", "prompt"), elsewhere).withColumn("known", F.lit(True))
+    each = said.join(known, "words", "left").select(key, "answer", "whole", F.coalesce("known", F.lit(False)).alias("known"))
+    return each.groupBy(key, "answer").agg(F.bool_and(F.col("known") | ~F.col("whole")).alias("all"), F.bool_or("known").alias("any")).where(F.col("all") & F.col("any")).select(key)
 
 
 def defects(df: DataFrame, key: str, question: str, answer: str, source: str, model: Model) -> DataFrame:
     """``key`` and ``defect``: one row for each defect of a pair; no row twice.
 
     Null answers have no defect; a null or empty question can be neither copied
-    nor of another language; a record delivered twice is judged once per
-    delivery and counts once; an empty table gives no rows.
+    nor of another language; a record delivered twice is judged with each of
+    its texts and counts once; an empty table gives no rows.
     """
-    one = df.select(key, question, answer, source).where(F.col(answer).isNotNull()).dropDuplicates([key, answer])
-    cut = with_cut(one, answer, source).where("cut").select(key)
-    judged = shared_table(judge(one, key, question, answer, model).where(F.col("sentence").isNotNull() | (F.size("defects") > 0)))
-    plain = judged.select(key, F.explode("defects").alias("defect"))
-    maybe = judged.where(F.col("sentence").isNotNull())
-    refusals = maybe.join(refusal_sentences(maybe), "sentence", "left_semi").select(key)
+    one = df.select(key, question, answer, source).where(F.col(answer).isNotNull()).distinct()
+    cut = judged_cuts(one.select(key, answer, source).distinct(), key, answer, source).where("cut").select(key)
+    found = shared_table(judge(one, key, question, answer, model).where(F.col("said").isNotNull() | (F.size("defects") > 0) | (F.size("elsewhere") > 0)))
+    plain = found.select(key, F.explode("defects").alias("defect"))
     truncated = cut.join(plain.where("defect = 'empty'").select(key), key, "left_anti")
-    return plain.unionByName(refusals.withColumn("defect", F.lit("refusal"))).unionByName(truncated.withColumn("defect", F.lit("truncated"))).distinct()
+    return plain.unionByName(refusals(found, key).withColumn("defect", F.lit("refusal"))).unionByName(truncated.withColumn("defect", F.lit("truncated"))).distinct()

@@ -1,23 +1,29 @@
 """Problem 5: text cut off by field limits or in transfer.
 
-A stack automaton reads the text once: formulas, braces, brackets, quotes and
-escapes left open mean a cut.  What is closed but has no terminator is judged
-by its last segment; what stays open to doubt counts as cut where its length
-is the limit of its source, found from the lengths at which the source piles up.
+A stack automaton reads the text once: formulas, brackets, quotes and markup
+left open, and escapes, entities, tags and byte sequences left unfinished mean
+a cut.  What is closed but has no terminator is judged by its last segment and
+by its source: where a source's texts usually end without one, a missing one
+says nothing.  What stays open to doubt counts as cut where its length is a
+limit of its source, found from the lengths at which the source piles up.
 """
 
 from __future__ import annotations
 
+import codecs
 import re
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import distinct_values, spread
+from .common import shared_table, spread
 
-#: Share of a source's answers at its greatest length that makes this a limit.
-PILE = 0.02
+#: A limit: a length with this share of a source's texts, this many at least, and so many times as many as the lengths around it; shorter texts pile up by themselves.
+PILE, LEAST, TIMES, SHORTEST = 0.02, 5, 8, 20
+#: Share of sentence-like endings without terminator from which a missing one says nothing in a source, if it has so many of these endings.
+USUAL, ENDINGS = 0.5, 30
+#: Sources whose limits are sent to all tasks; more of them are joined by source.
+FEW_SOURCES = 100_000
 
 # Marks put after a cut; what may end a text as it is; letters with which options begin.
 _MARK = re.compile(r"(?:\.\.\.+|…|\[(?:\.\.\.|…)\]|\((?:\.\.\.|…)\)|(?<=\w)[—–]|>>+)$")
@@ -27,43 +33,102 @@ _OPTIONS = re.compile(r"(?:^|\s)A[.)]\s.*\sB[.)]\s.*\s[C-H][.)]\s+(?:\S+\s*){1,4
 _SERIES = re.compile(r"^[\d\s.,;:/+\-−=()]*$")
 _END = re.compile(r"[.?!…:;][\"”»)\]*]*\s+|\n+")
 _WORD = re.compile(r"[^\W\d_]+")
-_PAIRS = {")": "(", "}": "{", "”": "“", "»": "«"}
+_CLOSING_TAGS = re.compile(r"(?:\s*</[A-Za-z][A-Za-z0-9]*>)+$")
+# Closing signs and what they close; elements that may stay open; elements known as markup.
+_PAIRS = {")": "([", "]": "[(", "}": "{", "”": "“", "»": "«"}
+_VOID = frozenset("br hr img input meta link wbr p li td th tr dt dd option".split())
+_TAGS = frozenset("b i u s em strong sub sup small mark del ins code pre a span div table thead tbody ul ol dl h1 h2 h3 h4 h5 h6 blockquote center font html body math svg".split()) | _VOID
+_TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9]*)(?:\s[^<>]*)?(/?)>")
+_OPEN_TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9]*)?(?:\s[^<>]*)?$")
+_ENTITY = re.compile(r"&(?:#\d{0,5}|#x[0-9a-fA-F]{0,4}|a|am|amp|ap|apo|apos|g|gt|l|lt|n|nb|nbs|nbsp|q|qu|quo|quot)$")
+_ESCAPE = re.compile(r"\\u[0-9a-fA-F]{1,3}$|(?:%[0-9A-F]{2})+%[0-9A-F]?$")
+_MISREAD_BYTES = re.compile("([\xc2-\xf4])([\x80-\xbf]{0,3})$")
+_WHOLE_BYTES = re.compile("[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}")
+_STOPS = re.compile(r'[\\$"()\[\]{}“”«»<*]')
+
+
+def broken_bytes(text: str) -> bool:
+    """Whether the text ends within a multi-byte character: with the mark of undecodable bytes, or within bytes taken for Latin letters."""
+    if text.endswith("�"):
+        return True
+    if m := re.search(r"(?:%[0-9A-Fa-f]{2})+$", text):
+        state = codecs.getincrementaldecoder("utf-8")("replace")
+        state.decode(bytes.fromhex(m[0].replace("%", "")))
+        return bool(state.getstate()[0])
+    m = _MISREAD_BYTES.search(text)
+    if not m or not _WHOLE_BYTES.search(text[: m.start()]):
+        return False
+    lead = ord(m[1])
+    return len(m[2]) < (1 if lead < 0xE0 else 2 if lead < 0xF0 else 3)
+
+
+def unfinished(text: str) -> bool:
+    """Whether the text ends within a tag, an entity, an escape or a character."""
+    m = _OPEN_TAG.search(text)
+    if m and (m[1] or m[2] and (m[2].lower() in _TAGS or any(t[2].lower() in _TAGS for t in _TAG.finditer(text)))):
+        return True
+    return bool(_ENTITY.search(text) or _ESCAPE.search(text)) or broken_bytes(text)
 
 
 def open_at_end(text: str) -> str | None:
     """What the automaton still holds at the end: the innermost thing left open, or null."""
     stack: list[str] = []
+    spare = 0  # closing square brackets without an opening one: open intervals begin so
     i, n = 0, len(text)
-    while i < n:
+    while m := _STOPS.search(text, i):
+        i = m.start()
         c = text[i]
+        i += 1
         if c == "\\":
-            if i + 1 >= n:
+            if i >= n:
                 return "\\"
-            i += 2 if not text[i + 1].isalpha() else 1
-            continue
-        if c == "$" or c == '"':
+            i += not text[i].isalpha()
+        elif c == "$" or c == '"':
             if c in stack:
                 while stack.pop() != c:  # what stood open inside ends with it
                     pass
             else:
                 stack.append(c)
-        elif c in "({“«":
+        elif c == "*":
+            if text.startswith("*", i) and not text.startswith("**", i) and "$" not in stack:
+                i += 1
+                word_after, word_before = i < n and not text[i].isspace(), i > 2 and not text[i - 3].isspace()
+                if "**" in stack and word_before:
+                    while stack.pop() != "**":
+                        pass
+                elif word_after and not word_before:
+                    stack.append("**")
+        elif c == "<":
+            t = _TAG.match(text, i - 1)
+            if t and (name := t[2].lower()) in _TAGS:
+                i = t.end()
+                if name in _VOID or t[3]:
+                    continue
+                if not t[1]:
+                    stack.append(f"<{name}>")
+                elif f"<{name}>" in stack:
+                    while stack.pop() != f"<{name}>":
+                        pass
+        elif c == "[" and spare and i > 1 and not text[i - 2].isspace() and (i == n or not text[i].isalnum()):
+            spare -= 1
+        elif c in "([{“«":
             stack.append(c)
-        elif c in _PAIRS and _PAIRS[c] in stack:
-            while stack.pop() != _PAIRS[c]:
+        elif closed := next((x for x in _PAIRS[c] if x in stack), None):
+            while stack.pop() != closed:
                 pass
-        i += 1
+        elif c == "]":
+            spare += 1
     return stack[-1] if stack else None
 
 
 def verdict(text: str | None) -> str:
-    """'whole', 'cut', or 'unsure' for an ending that fits both."""
+    """'whole'; 'cut' by its structure; 'bare', a sentence without terminator; 'ended', one with it; 'unsure' for an ending that fits both."""
     if text is None:
         return "whole"
     t = text.strip().strip(_BLANK).strip()
     if not t or not _WORD.search(t):
         return "whole" if open_at_end(t) in (None, '"') or len(t) < 8 else "cut"
-    if t.endswith("�"):
+    if unfinished(t):
         return "cut"
     if m := _MARK.search(t):
         rest = t[: m.start()].rstrip()
@@ -72,19 +137,19 @@ def verdict(text: str | None) -> str:
     if open_at_end(t):
         return "cut"
     words = len(_WORD.findall(t))
-    bare = t.rstrip("*_~`\"”»' ")
+    bare = _CLOSING_TAGS.sub("", t).rstrip("*_~`\"”»' ")
     if bare[-1:] in ".?!…":
-        return "whole"
+        return "ended"
     if bare[-1:] in ")];":
-        return "whole"
+        return "unsure"
     parts = [p for p in _END.split(bare) if p.strip()]
     tail = parts[-1].strip() if parts else bare
     if bare.endswith(":"):
-        return "cut" if len(parts) > 1 and words > 8 else "whole"
+        return "bare" if len(parts) > 1 and words > 8 else "whole"
     if bare[-1:] in ",=+-−–<>/*^_&":
         return "cut" if words >= 3 else "unsure"
     if bare.endswith("}") or bare.endswith("$"):
-        return "unsure" if "\\boxed" in tail or len(_WORD.findall(re.sub(r"\$[^$]*\$", "", tail))) < 3 else "cut"
+        return "unsure" if "\\boxed" in tail or len(_WORD.findall(re.sub(r"\$[^$]*\$", "", tail))) < 3 else "bare"
     line = bare.rsplit("\n", 1)[-1].strip()
     if _OPTION.match(line) or _OPTIONS.search(line) or _SERIES.match(line) or re.fullmatch(r"(?:\d+(?:,\d+)?\s+)+\d+(?:,\d+)?", tail):
         return "whole"
@@ -92,7 +157,7 @@ def verdict(text: str | None) -> str:
         return "unsure"
     if len(parts) > 1 and words <= 6 and re.match(r"(?i)(đáp|kết|answer|réponse|respuesta|antwort)", bare):
         return "unsure"
-    return "cut"
+    return "bare"
 
 
 def ending(c: Column) -> Column:
@@ -105,46 +170,56 @@ def ending(c: Column) -> Column:
     return udf(c)
 
 
-def limits(df: DataFrame, text: str, source: str) -> DataFrame:
-    """``source``, ``max_chars``, ``max_bytes`` of sources whose texts pile up at their greatest length (null otherwise)."""
-    t = df.where(F.col(text).isNotNull()).select(F.col(source).alias("source"), F.length(text).alias("c"), F.octet_length(text).alias("b"))
+def limits(judged: DataFrame) -> DataFrame:
+    """``source``, ``chars`` and ``bytes`` (arrays of its limits), ``usual`` (whether its sentences usually end without terminator).
+
+    ``judged``: source, v (verdict), c and b (length in characters and bytes).
+    A cut by bytes may lose up to three bytes more, at a character's edge.
+    """
     # one row for each source and length: a bounded summary, whatever the table's size
-    h = t.groupBy("source", "c", "b").agg(F.count(F.lit(1)).alias("n"))
-    top = h.groupBy("source").agg(F.max("c").alias("mc"), F.max("b").alias("mb"), F.sum("n").alias("all"))
-    at = h.join(top.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).groupBy("source").agg(
-        F.max("mc").alias("mc"), F.max("mb").alias("mb"), F.max("all").alias("all"),
-        F.sum(F.when(F.col("c") == F.col("mc"), F.col("n")).otherwise(0)).alias("nc"),
-        F.sum(F.when(F.col("b") > F.col("mb") - 4, F.col("n")).otherwise(0)).alias("nb"),
-    )
-    enough = lambda n: (F.col(n) > PILE * F.col("all")) & (F.col(n) > 4)
-    return at.select("source", F.when(enough("nc"), F.col("mc")).alias("max_chars"), F.when(enough("nb"), F.col("mb")).alias("max_bytes"))
-
-
-def with_cut(df: DataFrame, text: str, source: str, out: str = "cut") -> DataFrame:
-    """``df`` with a boolean column: whether ``text`` was cut.
-
-    Null and blank texts are never cut; very long texts are read whole; every
-    row, repeated ones too, gets its own verdict; null sources have their own
+    h = judged.groupBy("source", "c", "b").agg(F.count(F.lit(1)).alias("n"))
+    total = judged.groupBy("source").agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("v") == "bare").alias("bare"), F.count_if(F.col("v") == "ended").alias("ended"))
+
+    def piles(length: str, width: int, name: str) -> DataFrame:
+        """Lengths L at which (L - width, L] holds a pile, compared with the ten lengths on either side."""
+        one = h.groupBy("source", F.col(length).alias("at")).agg(F.sum("n").alias("n"))
+        near = Window.partitionBy("source").orderBy("at")
+        own = F.sum("n").over(near.rangeBetween(1 - width, 0))
+        around = (F.sum("n").over(near.rangeBetween(1 - width - 10, 10)) - own) / (20 / width)
+        top = F.row_number().over(Window.partitionBy("source").orderBy(F.desc("own"), "at"))
+        kept = one.withColumns({"own": own, "around": around}).join(total.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
+        kept = kept.where((F.col("own") > PILE * F.col("all")) & (F.col("own") >= LEAST) & (F.col("own") > TIMES * F.col("around")) & (F.col("at") >= SHORTEST))
+        return kept.withColumn("r", top).where("r <= 50").groupBy("source").agg(F.collect_list("at").alias(name))  # at most 1/PILE of them exist
+
+    out = total.select("source", ((F.col("bare") > USUAL * (F.col("bare") + F.col("ended"))) & (F.col("bare") + F.col("ended") >= ENDINGS)).alias("usual"))
+    for name, d in (("chars", piles("c", 1, "chars")), ("bytes", piles("b", 4, "bytes"))):
+        out = out.join(d.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+    return out
+
+
+def judged(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
+    """``key``, ``source``, ``cut`` of each row with a text (null: no row); the texts are read once.
+
+    Blank texts are never cut; very long texts are read whole; every row,
+    repeated ones too, gets its own verdict; null sources have their own
     baseline; an empty table stays empty.
     """
-    lim = limits(df, text, source).select(F.col("source").alias("__s"), "max_chars", "max_bytes")
-    judged = df.withColumn("__v", ending(F.col(text)))
-    at = (F.length(text) == F.col("max_chars")) | (F.octet_length(text) > F.col("max_bytes") - 4)
-    both = judged.join(F.broadcast(lim), F.col(source).eqNullSafe(F.col("__s")), "left")
-    return both.withColumn(out, (F.col("__v") == "cut") | ((F.col("__v") == "unsure") & F.coalesce(at, F.lit(False)))).drop("__v", "__s", "max_chars", "max_bytes")
+    texts = df.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(source).alias("source"), F.col(text).alias("text"))
+    own = shared_table(texts.select("key", "source", ending(F.col("text")).alias("v"), F.length("text").alias("c"), F.octet_length("text").alias("b")))
+    lim = shared_table(limits(own)).withColumnRenamed("source", "s")
+    few = lim.count() <= FEW_SOURCES
+    both = own.join(F.broadcast(lim) if few else lim, F.col("source").eqNullSafe(F.col("s")), "left")
+    at = F.coalesce(F.array_contains("chars", F.col("c")), F.lit(False)) | F.coalesce(F.exists("bytes", lambda x: (F.col("b") <= x) & (F.col("b") > x - 4)), F.lit(False))
+    cut = (F.col("v") == "cut") | ((F.col("v") == "bare") & (~F.col("usual") | at)) | ((F.col("v") == "unsure") & at)
+    return both.select(F.col("key").alias(key), F.col("source").alias(source), cut.alias("cut"))
 
 
 def found(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
     """``key`` and ``source`` of records whose text was cut; no row twice."""
-    return with_cut(spread(df.select(key, text, source)), text, source).where("cut").select(key, source).distinct()
+    return judged(spread(df.select(key, text, source)), key, text, source).where("cut").select(key, source).distinct()
 
 
 def shares(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
     """For each source: texts, cut texts and their share; a record delivered twice counts once."""
-    one = with_cut(df.select(key, text, source), text, source).where(F.col(text).isNotNull()).groupBy(source, key).agg(F.max("cut").alias("cut"))
+    one = judged(spread(df.select(key, text, source)), key, text, source).groupBy(source, key).agg(F.max("cut").alias("cut"))
     return one.groupBy(source).agg(F.count(F.lit(1)).alias("texts"), F.count_if("cut").alias("cut_texts")).withColumn("share", F.col("cut_texts") / F.col("texts"))
-
-
-def open_things(texts: list[str | None]) -> pa.Array:
-    """For reports: what each text leaves open."""
-    return pa.array(distinct_values(texts, open_at_end))

@@ -5,6 +5,7 @@ import unicodedata
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("foliograph.llm")
 
@@ -178,9 +179,41 @@ WHOLE = [None, "", "   ", "548", "hình thang cân", "Đáp án: B", "A. 84,66 g
 
 
 def test_verdicts():
-    assert [truncation.verdict(t) for t in CUT] == ["cut"] * len(CUT)
-    assert all(truncation.verdict(t) != "cut" for t in WHOLE)
-    assert truncation.verdict(LONG + ".") == "whole"
+    assert {truncation.verdict(t) for t in CUT} == {"cut", "bare"}
+    assert all(truncation.verdict(t) not in ("cut", "bare") for t in WHOLE)
+    assert truncation.verdict(LONG + ".") == "ended"
+
+
+OPEN = [
+    "Xem [1, 2 và hình [vẽ bên.", "Kết quả <b>đậm và dài hơn mọi.", "Tính <span class='x'>tổng <i>hai</i> số.", "Vậy <b>x</b> là số <stro", "Số liệu A &amp; B là đủ &nb", "mã \\u00e1 và \\u00e", "x%20y là %E1%BB",
+    "Đáp số là \xc3\xa1 và \xe1\xbb", "**Kết luận: dài hơn mọi.", "Tập (1; 2 là.", "Ta viết « như trên.",
+]
+CLOSED = [
+    "Nửa khoảng [1; 2) và (1; 2] là tập con.", "Intervalle ]1; 2[ est ouvert.", "x < y và <b>z</b> <br> là số.", "a & b &amp; c.", "Đây là hòn đá", "**Kết luận:** dài hơn.", "2**3 = 8.", "<p>Một đoạn.", "a*b và c*d.", "A <B>hai</B>.", "f[0] = 1.",
+]
+
+
+def test_automaton():
+    for t in OPEN:
+        assert truncation.verdict(t) == "cut", t
+    for t in CLOSED:
+        assert truncation.verdict(t) not in ("cut", "bare") or t.endswith("đá"), t
+    assert [truncation.open_at_end(t) for t in ("(a [b", "$x", "<b>a", "**a", "a")] == ["[", "$", "<b>", "**", None]
+
+
+def test_source_baselines(spark):
+    words = "Ta suy ra điều cần tìm là quãng đường còn lại dài hơn dự kiến của đề toán đã cho trước".split()
+    text = lambda i, end: " ".join(words[i % 5 :] + words[: i % 7]) + " nữa" * (i % 11) + end
+    rows = [(i, text(i, "."), "ends") for i in range(60)] + [(100, "Suy ra hai góc bằng nhau và hình", "ends")]
+    rows += [(200 + i, text(i, ""), "never") for i in range(60)]  # no terminators are usual here
+    long = " ".join(words * 9)
+    rows += [(300 + i, long[i : i + n] if i % 2 else f"{text(i, '')}.", "limit") for i in range(80) for n in [100 if i % 4 == 1 else 130]]
+    df = spark.createDataFrame(rows, "id long, a string, source string")
+    got = {r.id for r in truncation.found(df, "id", "a", "source").collect()}
+    assert {i for i in got if i < 300} == {100} and got >= {300 + i for i in range(1, 80, 2)}
+    own = df.select("source", truncation.ending(df.a).alias("v"), F.length("a").alias("c"), F.octet_length("a").alias("b"))
+    lim = {r.source: r for r in truncation.limits(own).collect()}
+    assert sorted(lim["limit"].chars) == [100, 130] and lim["never"].usual and not lim["ends"].usual and lim["ends"].chars is None
 
 
 def test_truncation(spark):
@@ -226,6 +259,7 @@ def test_refusals_in_other_words(spark):
     answers = [f"{w} thể đưa ra lời giải cho đề bài trên khi chưa có đủ thông tin." for w in ("Tôi không", "Rất tiếc, tôi chưa", "Thành thật xin lỗi, hệ thống không")]
     same = [f"I am unable to answer this question {w}." for w in ("today", "here")]
     rows = [*zip(prompts, answers), *((VI, a) for a in same), (prompts[1], "Tôi thích đọc sách vào buổi sáng."), (prompts[2], "Tôi thích đọc sách vào buổi chiều.")]
+    rows += [(VI, "Vậy x = 3. Tôi thích đọc sách vào buổi sáng.")]  # a sentence that stands in answers with content is no template of refusals
     df = spark.createDataFrame([(i, q, a, "s") for i, (q, a) in enumerate(rows)], "id long, q string, a string, source string")
     got = {r.id for r in pairs.defects(df, "id", "q", "a", "source", model).where("defect = 'refusal'").collect()}
     assert got == {0, 1, 2}  # 3 and 4 answer one prompt only
