@@ -2,17 +2,18 @@
 
 The encoder is a left-to-right transducer.  After each byte it knows the last
 token of the encoding of what it has read; a token may end here if it and the
-token before it stay apart when they are encoded together.  Tokens on which
-all live continuations agree are emitted at once, so the state stays within
-the vocabulary's *sufficient lookahead*, computed from the merge list.
-Pre-tokens of common length are remembered per worker as ready byte strings of
-ids, so that a text costs one regular expression scan and one join.
+token before it stay apart when they are encoded together.  It holds a window
+as long as the vocabulary's *sufficient lookahead*, computed from the merge
+list; once that is full, the tokens on which all continuations agree leave it,
+so the state is bounded for runs of any length.  Texts go through in pieces.
+Results of short pre-tokens and pieces are remembered per worker.
 """
 
 from __future__ import annotations
 
 import base64
 import codecs
+import hashlib
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -24,8 +25,10 @@ from pyspark.sql import DataFrame
 from .common import spread
 
 VOCABULARY = "byte_bpe_50k"
-#: Pre-tokens of up to so many bytes are remembered; the memory of a worker is emptied at so many entries.
-MEMO_BYTES, MEMO_ENTRIES = 64, 400_000
+#: Results of strings of up to so many characters are remembered; a worker forgets them at so many entries.
+MEMO_LENGTH, MEMO_ENTRIES = 64, 400_000
+#: Characters of a text that are taken in at once.
+PIECE = 1 << 16
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -49,8 +52,9 @@ def splitter() -> regex.Pattern:
 class Transducer:
     """Streaming byte-level BPE over a table of ranks."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], window: int | None = None):
+        """``window``: the sufficient lookahead if it is known already."""
+        self.ranks, self._window = ranks, window
         self.text = {i: b for b, i in ranks.items()}
         self.longest = max(map(len, ranks))
         self._apart: dict[tuple[int, int], bool] = {}
@@ -89,7 +93,6 @@ class Transducer:
             self._apart[k] = self.merge(self.text[a] + self.text[b]) == [self.text[a], self.text[b]]
         return self._apart[k]
 
-    @lru_cache(1)  # noqa: B019
     def lookahead(self) -> int:
         """Bytes after a token that can still change it.
 
@@ -97,6 +100,8 @@ class Transducer:
         ``v`` together with what follows, and that one in turn only by a still
         earlier one: the longest such chain of ever earlier merges bounds it.
         """
+        if self._window is not None:
+            return self._window
         best: dict[bytes, int] = {}
         most = 0
         for token, _ in sorted(self.ranks.items(), key=lambda x: x[1]):
@@ -111,51 +116,74 @@ class Transducer:
             n = len(v) + chain
             best[u] = max(best.get(u, 0), n)
             most = max(most, n)
-        return most + self.longest
+        self._window = most + self.longest
+        return self._window
+
+    def run(self) -> Run:
+        """The state for one pre-token."""
+        return Run(self)
 
     def stream(self, chunks: Iterable[bytes]) -> Iterator[int]:
-        """Ids of one pre-token that arrives in chunks; holds only what isn't stable yet."""
-        data = bytearray()  # bytes since the last emitted token
-        last: list[int] = [-1]  # last token of the encoding of data[:i]
-        prior = -1  # the token emitted last
-        for chunk in chunks:
-            for byte in chunk:
-                data.append(byte)
-                i = len(data)
-                for n in range(min(self.longest, i), 0, -1):
-                    t = self.ranks.get(bytes(data[i - n :]))
-                    if t is None or i - n and last[i - n] < 0:
-                        continue
-                    before = last[i - n] if i - n else prior
-                    if before < 0 or self.apart(before, t):
-                        last.append(t)
-                        break
-                else:
-                    last.append(-1)
-                if i >= 2 * self.longest:
-                    stable = self._agreed(last, i)
-                    if stable:
-                        yield from stable
-                        used = sum(len(self.text[t]) for t in stable)
-                        del data[:used]
-                        last = [-1, *last[used + 1 :]]
-                        prior = stable[-1]
-        yield from self._path(last, len(data))
-
-    def _path(self, last: list[int], i: int) -> list[int]:
+        """Ids of one pre-token that arrives in chunks."""
+        r = self.run()
+        for c in chunks:
+            yield from r.feed(c)
+        yield from r.end()
+
+
+class Run:
+    """One pre-token on its way through the transducer; holds only what isn't stable yet."""
+
+    def __init__(self, machine: Transducer):
+        self.machine, self.window = machine, machine.lookahead()
+        self.data = bytearray()  # bytes since the last emitted token
+        self.last = [-1]  # last token of the encoding of data[:i]
+        self.prior = -1  # the token emitted last
+
+    def feed(self, chunk: bytes) -> list[int]:
+        """Ids that have become stable."""
+        m, data, last, out = self.machine, self.data, self.last, []
+        ranks, longest = m.ranks, m.longest
+        for byte in chunk:
+            data.append(byte)
+            i = len(data)
+            for n in range(min(longest, i), 0, -1):
+                t = ranks.get(bytes(data[i - n :]))
+                if t is None or i - n and last[i - n] < 0:
+                    continue
+                before = last[i - n] if i - n else self.prior
+                if before < 0 or m.apart(before, t):
+                    last.append(t)
+                    break
+            else:
+                last.append(-1)
+            if i >= self.window:
+                stable = self._agreed(i)
+                if stable:
+                    out += stable
+                    used = sum(len(m.text[t]) for t in stable)
+                    del data[:used]
+                    last[: used + 1] = [-1]
+                    self.prior = stable[-1]
+        return out
+
+    def end(self) -> list[int]:
+        return self._path(len(self.data))
+
+    def _path(self, i: int) -> list[int]:
         out = []
         while i > 0:
-            out.append(last[i])
-            i -= len(self.text[last[i]])
+            out.append(self.last[i])
+            i -= len(self.machine.text[self.last[i]])
         return out[::-1]
 
-    def _agreed(self, last: list[int], i: int) -> list[int]:
+    def _agreed(self, i: int) -> list[int]:
         """First tokens shared by the paths to all positions where the next token may begin."""
         common: list[int] | None = None
-        for j in range(i, max(0, i - self.longest), -1):
-            if last[j] < 0:
+        for j in range(i, max(0, i - self.machine.longest), -1):
+            if self.last[j] < 0:
                 continue
-            p = self._path(last, j)
+            p = self._path(j)
             if common is None:
                 common = p
             else:
@@ -176,15 +204,21 @@ class _Memo(dict):
 
     def __missing__(self, word: str) -> bytes:
         got = self.make(word)
-        if len(word) <= MEMO_BYTES:
+        if len(word) <= MEMO_LENGTH:
             if len(self) >= MEMO_ENTRIES:
                 self.clear()
             self[word] = got
         return got
 
 
-#: A white-space run with a space and more in it; a piece between such runs.
-_WIDE, _PIECE = regex.compile(r" \s|\s "), regex.compile(r" ?\S+|\s+(?!\S)|\s+")
+#: A white-space run with a space and more in it; a piece between such runs; the last place where pieces may be parted.
+_WIDE, _PIECE, _CUT = regex.compile(r" \s|\s "), regex.compile(r" ?\S+|\s+(?!\S)|\s+"), regex.compile(r"(?r)(?<=\S) (?=\S)")
+#: What goes on in a pre-token, by its last character.
+_CLASSES = [regex.compile(p) for p in (r"\s+", r"\p{L}+", r"\p{N}+", r"[^\s\p{L}\p{N}]+")]
+
+
+def _bytes(ids: Iterable[int]) -> bytes:
+    return np.fromiter(ids, np.int32).tobytes()
 
 
 class Encoder:
@@ -194,26 +228,60 @@ class Encoder:
     cut before each single space and its pieces encoded on their own.
     """
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.machine = Transducer(ranks)
-        self.pretoken = _Memo(self._pretoken)
+    def __init__(self, ranks: dict[bytes, int], window: int | None = None):
+        self.machine = Transducer(ranks, window)
+        self.pretoken = _Memo(lambda w: _bytes(self.machine.stream([w.encode("utf-8", "replace")])))
         self.piece = _Memo(lambda w: b"".join(map(self.pretoken.__getitem__, splitter().findall(w))))
         self.after_space = _Memo(lambda w: self.piece[" " + w])
 
-    def _pretoken(self, word: str) -> bytes:
-        raw = word.encode("utf-8", "replace")
-        ids = [self.machine.ranks[p] for p in self.machine.merge(raw)] if len(raw) <= MEMO_BYTES else self.machine.stream([raw])
-        return np.fromiter(ids, np.int32).tobytes()
-
     def encode_bytes(self, text: str | None) -> bytes:
         """Ids as the bytes of 32-bit integers; null and empty texts give none."""
         if not text:
             return b""
+        if len(text) <= PIECE:
+            return self._at_once(text)
+        return b"".join(self.stream(text[i : i + PIECE] for i in range(0, len(text), PIECE)))
+
+    def _at_once(self, text: str) -> bytes:
         if _WIDE.search(text) or text[0] == " " or text[-1] == " ":
             return b"".join(map(self.piece.__getitem__, _PIECE.findall(text)))
         first, *rest = text.split(" ")
         return self.piece[first] + b"".join(map(self.after_space.__getitem__, rest))
 
+    def stream(self, chunks: Iterable[str], most: int = PIECE) -> Iterator[bytes]:
+        """Ids of a text that arrives in chunks; beside a chunk and the state of one pre-token no more than ``most`` characters are held."""
+        held, run, going_on = "", None, None
+        for chunk in chunks:
+            held += chunk
+            if run is not None:
+                end = m.end() if (m := going_on.match(held)) else 0
+                # the last of several white-space characters may belong to what follows
+                fed = max(end - 1, 0) if going_on is _CLASSES[0] else end
+                yield _bytes(run.feed(held[:fed].encode("utf-8", "replace")))
+                held = held[fed:]
+                if end == fed + len(held):
+                    continue
+                yield _bytes(run.end())
+                run = None
+            if m := _CUT.search(held):
+                yield self._at_once(held[: m.start()])
+                held = held[m.start() :]
+            if len(held) > most:
+                *whole, last = splitter().finditer(held)
+                yield b"".join(self.pretoken[t[0]] for t in whole)
+                held = held[last.start() :]
+                if len(held) > most:
+                    going_on = next(c for c in _CLASSES if c.match(held[-1]))
+                    fed = len(held) - (going_on is _CLASSES[0])
+                    run = self.machine.run()
+                    yield _bytes(run.feed(held[:fed].encode("utf-8", "replace")))
+                    held = held[fed:]
+        if run is not None:
+            yield _bytes(run.feed(held.encode("utf-8", "replace")))
+            yield _bytes(run.end())
+        elif held:
+            yield self._at_once(held)
+
     def encode(self, text: str | None) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), np.int32).tolist()
 
@@ -236,14 +304,22 @@ class Decoder:
         return "".join(map(self.feed, ids)) + self.end()
 
 
-_encoders: dict[int, Encoder] = {}
+_encoders: dict[str, Encoder] = {}
+
+
+def _encoder(name: str, ranks: dict[bytes, int], window: int) -> Encoder:
+    """One encoder for a worker's life (Python workers are reused between tasks), kept under the hash of its vocabulary."""
+    if name not in _encoders:
+        _encoders[name] = Encoder(ranks, window)
+    return _encoders[name]
 
 
-def _encoder(ranks: dict[bytes, int]) -> Encoder:
-    """One encoder for a worker's life (Python workers are reused between tasks)."""
-    if len(ranks) not in _encoders:
-        _encoders[len(ranks)] = Encoder(ranks)
-    return _encoders[len(ranks)]
+@lru_cache(4)
+def load(path: str) -> tuple[str, dict[bytes, int], int]:
+    """Hash, ranks and sufficient lookahead of a vocabulary file."""
+    ranks = read_ranks(path)
+    own = hashlib.sha256(b"".join(b"%d:%d:%b" % (i, len(b), b) for b, i in sorted(ranks.items())))
+    return own.hexdigest(), ranks, Transducer(ranks).lookahead()
 
 
 def encode_table(df: DataFrame, key: str, text: str, path: str | None = None, ids: str = "ids") -> DataFrame:
@@ -254,12 +330,12 @@ def encode_table(df: DataFrame, key: str, text: str, path: str | None = None, id
     tokens are ordinary text.  The vocabulary (under 1 MB, of fixed size) is
     broadcast, so executors need no file.
     """
-    ranks = df.sparkSession.sparkContext.broadcast(read_ranks(path or vocabulary_path()))
+    vocabulary = df.sparkSession.sparkContext.broadcast(load(path or vocabulary_path()))
     src = spread(df.select(key, text))
     kind = src.schema[key].dataType.simpleString()
 
     def run(batches):
-        enc = _encoder(ranks.value)
+        enc = _encoder(*vocabulary.value)
         for b in batches:
             for at in range(0, b.num_rows, 1024):
                 part = b.slice(at, 1024)

@@ -297,6 +297,36 @@ def test_stream_in_pieces(ranks):
     raw = word.encode()
     assert list(machine.stream(raw[i : i + 3] for i in range(0, len(raw), 3))) == enc.encode_ordinary(word)
     assert machine.lookahead() > machine.longest
+    run, most = machine.run(), 0
+    for k in range(0, len(raw) * 20, 7):
+        run.feed((raw * 20)[k : k + 7])
+        most = max(most, len(run.data))
+    assert most <= machine.lookahead()  # the state doesn't grow with the run
+
+
+def test_texts_in_pieces(ranks):
+    own, enc = tokenizer.Encoder(ranks), reference(ranks)
+    draw = random.Random(8)
+    texts = ["".join(draw.choice(["từ ", "nghiêng", "  ", "\n", "12", "!?", " ", "'s", "😀"]) for _ in range(300)) for _ in range(30)]
+    texts += ["x" * 900, " " * 900 + "x", "\n" * 500 + " x", "a" + " " * 700, "7" * 800 + "-" * 800 + " x", " \n" * 300 + "y"]
+    for t in texts:
+        for size, most in ((1, 5), (7, 20), (100, 60)):
+            got = b"".join(own.stream((t[i : i + size] for i in range(0, len(t), size)), most))
+            assert np.frombuffer(got, np.int32).tolist() == enc.encode_ordinary(t)
+
+
+def test_vocabularies_of_equal_size(spark, ranks, tmp_path):
+    import base64
+
+    other = {b: len(ranks) - 1 - i for b, i in ranks.items() if len(b) == 1}
+    swapped = {b: len(other) - 1 - k for k, b in enumerate(other)}
+    df = spark.createDataFrame([(1, "abc")], "id long, text string").coalesce(1)
+    got = []
+    for k, v in enumerate((dict(zip(other, range(256))), swapped)):
+        path = tmp_path / f"{k}.tiktoken"
+        path.write_bytes(b"\n".join(base64.b64encode(b) + b" %d" % i for b, i in v.items()))
+        got.append(tokenizer.encode_table(df, "id", "text", str(path)).first().ids == [v[c.encode()] for c in "abc"])
+    assert got == [True, True]
 
 
 def test_encode_table(spark):
