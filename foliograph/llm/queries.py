@@ -14,7 +14,7 @@ def _reader(spark: SparkSession, sf_dir: str):
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scannoise.by_page(table(spark, sf_dir, "ocr_output"), "doc", "page_idx", "idx", "ocr_id", "prediction", "bbox")
+    return scannoise.by_page(table(spark, sf_dir, "ocr_output"), "doc", "page_idx", "idx", "ocr_id", "prediction", "bbox", "ingested_at")
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,6 +51,32 @@ def test_scan_noise(spark):
     assert page["e", 0].startswith("Câu 1. Hai xe khởi hành lúc buổi sáng từ bến xe Kim Giang")
 
 
+def test_corrections_by_vectors(spark):
+    draw = random.Random(4)
+    topics = ["nước chảy vào bể đầy lít vòi".split(), "đường thẳng song song cắt góc hình".split()]
+    lines = [" ".join(draw.sample(t, 4)) for _ in range(400) for t in topics]
+    # two frequent words that one misreading may stand for, each among its own neighbours, and a rare word that none of them fits
+    lines += [f"nước tanh vào bể lít {i % 7}" for i in range(60)] + [f"đường tanb cắt góc {i % 7}" for i in range(50)]
+    lines += ["nước tan6 vào bể", "song tan8 cắt góc hình", "đầy lítt vòi"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "id long, text string")
+    lex = scannoise.learn(df.select("text"))
+    assert lex.status("tan6")[0] == "misread" and lex.vectors.any()
+    water, lines_ = lex.fits(["nước", "đường"], ["chảy", "vòi"]), lex.fits(["nước", "đường"], ["song", "góc"])
+    assert water[0] > water[1] and lines_[1] > lines_[0]
+    both = [("bể", 0.0), ("góc", 0.0)]
+    assert lex.choose("misread", both, ["nước", "vòi"]) == "bể" and lex.choose("misread", both, ["song", "cắt"]) == "góc"
+    assert lex.costs["6", "b"] < lex.costs["vv", "w"]  # corrections that explain more words cost less
+    assert lex.glyph_candidates("x" * 100_000) == {}  # longer than any word
+
+
+def test_geometry():
+    cells = {(1, 2): (40, 10, 38), (1, 7): (50, 0, 50), (1, 9): (50, 1, 50), (9, 100): (20, 19, 20), (1, 100): (10, 0, 10), (9, 101): (1, 1, 1)}
+    g = scannoise.Geometry(cells)
+    assert g.top == 7 * scannoise.CELL_H and g.foot == {(9, 100)} and g.is_head(40) and not g.is_head(120) and not g.is_head(None)
+    assert scannoise.Geometry({}).top == 0 and scannoise.Geometry({(1, 2): (40, 0, 40), (1, 7): (50, 0, 50), (1, 60): (5, 0, 5)}).top == 0
+    assert scannoise.Geometry({(1, 2): (40, 0, 3), (1, 7): (50, 0, 50), (1, 60): (5, 0, 5)}).top == 7 * scannoise.CELL_H
+
+
 def test_scan_noise_empty(spark):
     ocr, ex = noisy_tables(spark)
     reader = scannoise.reader_of(ocr.limit(0), "prediction", "bbox", ex.limit(0), "question")
