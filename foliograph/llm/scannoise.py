@@ -135,9 +135,10 @@ class Lexicon:
         self.costs = {e: 1.0 for e in GLYPHS}
         self.memo: dict[str, tuple[str, list[tuple[str, float]]]] = {}
         self._rivals: dict[str, list[str]] = {}
+        self._judged: dict[tuple[str, str, str], str | None] = {}
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"memo": {}, "_rivals": {}}
+        return self.__dict__ | {"memo": {}, "_rivals": {}, "_judged": {}}
 
     def glyph_edits(self, w: str) -> Iterator[tuple[str, tuple]]:
         """All words that one glyph correction of ``w`` gives, with the correction."""
@@ -248,7 +249,14 @@ class Lexicon:
         return int(self.near[1][k]) if k < len(self.near[0]) and self.near[0][k] == key else 0
 
     def in_context(self, w: str, left: str, right: str) -> str | None:
-        """The rival that fits where ``w`` stands far better than ``w`` does, or null."""
+        """The rival that fits where ``w`` stands far better than ``w`` does, or null; remembered for each place's words."""
+        if (k := (w, left, right)) not in self._judged:
+            if len(self._judged) > 300_000:
+                self._judged.clear()
+            self._judged[k] = self._in_context(w, left, right)
+        return self._judged[k]
+
+    def _in_context(self, w: str, left: str, right: str) -> str | None:
         get = self.together
         own = (get(w, 0, left) + 0.5) * (get(w, 1, right) + 0.5) / (self.known[w] + 1)
         best = None
