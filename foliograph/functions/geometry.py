@@ -51,11 +51,42 @@ def unclip_distance(poly: Column, ratio: float = 1.6) -> Column:
     return F.when(p == 0, F.lit(0.0)).otherwise(area(poly) * ratio / p)
 
 
-def rotate(poly: Column, angle: Column, width: Column, height: Column) -> Column:
-    """Points turned by ``angle`` degrees about the whole-number centre, truncated to whole numbers."""
+def rotate(poly: Column, angle: Column, width: Column, height: Column, off_x: Column | None = None, off_y: Column | None = None) -> Column:
+    """Points turned by ``angle`` degrees about the whole-number centre, less the offsets, truncated to whole numbers."""
     c, s = F.cos(F.radians(angle)), F.sin(F.radians(angle))
     cx, cy = F.floor(width / 2), F.floor(height / 2)
-    return F.transform(poly, lambda p: point(((p["x"] - cx) * c - (p["y"] - cy) * s + cx).cast("int"), ((p["x"] - cx) * s + (p["y"] - cy) * c + cy).cast("int")))
+    x0, y0 = (F.lit(0) if o is None else o for o in (off_x, off_y))
+    return F.transform(poly, lambda p: point(((p["x"] - cx) * c - (p["y"] - cy) * s + cx - x0).cast("int"), ((p["x"] - cx) * s + (p["y"] - cy) * c + cy - y0).cast("int")))
+
+
+def corners_by_height(quad: Column) -> Column:
+    """Four points as top left, top right, bottom right, bottom left: left and right pair by x, each by y; null unless four points."""
+    by_x = F.array_sort(F.transform(quad, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))))
+    by_y = lambda part: F.array_sort(F.transform(part, lambda p: F.struct(p["y"].alias("y"), p["x"].alias("x"))))
+    left, right = by_y(F.slice(by_x, 1, 2)), by_y(F.slice(by_x, 3, 2))
+    at = lambda pair, k: point(F.get(pair, F.lit(k))["x"], F.get(pair, F.lit(k))["y"])
+    return F.when(F.size(quad) == 4, F.array(at(left, 0), at(right, 0), at(right, 1), at(left, 1)))
+
+
+def has_extent(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+    """Whether a crop has height and width; what has none is left out before recognition."""
+    return F.coalesce((x2 > x1) & (y2 > y1), F.lit(False))
+
+
+def vote(poly: Column, angle: Column) -> Column:
+    """The angle for which a line votes: none (0) if it is tiny or too round."""
+    return F.when((area(poly) < 25) | (roundness(poly) >= 0.8), F.lit(0.0)).otherwise(angle)
+
+
+def outline_distance(poly: Column, ratio: float = 1.6) -> Column:
+    """How far an outline is grown: 1.45 times as far as a box."""
+    return unclip_distance(poly, ratio) * 1.45
+
+
+def repaired(poly: Column) -> Column:
+    """A polygon of three points at least; fewer give the box around them."""
+    b = bounds(poly)
+    return F.when(F.size(poly) < 3, rectangle(b["x1"], b["y1"], b["x2"] - b["x1"], b["y2"] - b["y1"])).otherwise(poly)
 
 
 def order_corners(quad: Column) -> Column:

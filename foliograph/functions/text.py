@@ -8,6 +8,10 @@ from pyspark.sql import types as T
 
 # Texts with which an exercise begins, as recognised (one right, four misread, three with noise before).
 MARKERS = ["Câu", "Cấu", "Cầu", "Cẩu", "Côu", ">>Câu", ">> Câu", "n Câu"]
+#: What the id of unknown characters stands for.
+MASK = "*"
+#: Exercises found on a page picture: title and box (x_min, y_min, x_max, y_max).
+TITLE_LIST = T.StructType([T.StructField("exercise_title_list", T.ArrayType(T.StructType([T.StructField("exercise_title_index", T.StringType()), T.StructField("bounding_box", T.ArrayType(T.IntegerType()))])))])
 #: One extracted exercise, and the list a model returns.
 EXERCISE_LIST = T.StructType([T.StructField("exercise_list", T.ArrayType(T.StructType([T.StructField("question", T.StringType()), T.StructField("answer", T.StringType())])))])
 
@@ -67,10 +71,18 @@ def parse_exercises(reply: Column) -> Column:
     return F.from_json(reply, EXERCISE_LIST)["exercise_list"]
 
 
-def boxed(answer: Column) -> Column:
-    r"""What stands in the first flat ``\boxed{}``, null if there is none."""
-    got = F.regexp_extract(answer, r"\\boxed\{([^{}]*)\}", 1)
-    return F.when(answer.rlike(r"\\boxed\{[^{}]*\}"), got)
+def box_pattern(depth: int = 6) -> str:
+    r"""A pattern of ``\boxed{}`` with braces nested up to ``depth`` deep."""
+    inner = r"[^{}]*"
+    for _ in range(depth):
+        inner = rf"(?:[^{{}}]|\{{{inner}\}})*"
+    return rf"\\boxed\{{({inner})\}}"
+
+
+def boxed(answer: Column, depth: int = 6) -> Column:
+    r"""What stands in the first ``\boxed{}`` whose braces match, nested ones too; null if there is none."""
+    p = box_pattern(depth).replace(")*", ")*+").replace("]*", "]*+")
+    return F.when(answer.rlike(p), F.regexp_extract(answer, p, 1))
 
 
 def data_url(content: Column, kind: str = "image/jpeg") -> Column:
@@ -92,12 +104,12 @@ def encode(text: Column, vocabulary: str) -> Column:
 
 
 def decode(ids: Column, vocabulary: str) -> Column:
-    """Text of ids: from after the first place if any id is 1, up to the first 2."""
+    """Text of ids: from after the first place if any id is 1, up to the first 2; 3 is the mask character, 0 and 1 the names of their marks."""
     v = F.lit(vocabulary)
     begin = F.when(F.array_contains(ids, 1), 2).otherwise(1)
     end = F.array_position(ids, 2)
     n = F.greatest(F.when(end > 0, end - begin).otherwise(F.size(ids) - begin + 1), F.lit(0))
-    return F.array_join(F.transform(F.slice(ids, begin, n.cast("int")), lambda i: F.when(i > 3, F.substring(v, i - 3, F.lit(1))).otherwise("")), "")
+    return F.array_join(F.transform(F.slice(ids, begin, n.cast("int")), lambda i: F.when(i > 3, F.substring(v, i - 3, F.lit(1))).when(i == 3, MASK).when(i == 0, "<pad>").otherwise("<sos>")), "")
 
 
 def space_out(text: Column) -> Column:
@@ -121,3 +133,19 @@ def join_tokens(tokens: Column, end: str = "</s>") -> Column:
 def base_name(path: Column, suffix: str = ".pdf") -> Column:
     """The last part of a path, with every ``suffix`` removed."""
     return F.replace(F.element_at(F.split(path, "/"), -1), F.lit(suffix))
+
+
+def path_part(path: Column, no: int) -> Column:
+    """Part ``no`` (from 0) of a path: a model's folder, its version; null beyond the end."""
+    return F.get(F.split(path, "/"), F.lit(no))
+
+
+def first_longest(values: Column) -> Column:
+    """The longest of several texts or lists, the first one of equals; null of none."""
+    sized = F.transform(values, lambda v, i: F.struct(F.length(v).alias("n"), (-i).alias("i"), v.alias("v")))
+    return F.array_max(sized)["v"]
+
+
+def drawable(label: Column, name: Column, colours: int = 255) -> Column:
+    """Whether a recognised field is drawn: its label has a colour and it isn't a key."""
+    return F.coalesce((label >= 0) & (label < colours) & ~name.startswith("key"), F.lit(False))

@@ -39,12 +39,30 @@ def candidates(df: DataFrame, no: str, short: Column, score: Column, grown: Colu
 
 
 def compare_boxes(a: tuple, b: tuple, tolerance: int = 7) -> int:
-    """Reading order of two boxes (x1, y1, x2, y2): rows first, then columns; boxes of one row overlap in height."""
-    if abs(a[1] - b[1]) <= tolerance:
-        return -1 if a[0] < b[0] else 1 if a[0] > b[0] else 0
-    if min(a[3], b[3]) - max(a[1], b[1]) > 0.5 * min(a[3] - a[1], b[3] - b[1]):
-        return -1 if a[0] < b[0] else 1
-    return -1 if a[1] < b[1] else 1
+    """Reading order of two boxes (x1, y1, x2, y2): -1 if ``a`` comes first, 1 if ``b`` does.
+
+    One box is below the other if it begins (but for the tolerance) where the
+    other ends, or if neither's middle is within the other's height; then
+    columns decide in the same way by the edges; boxes that overlap both ways
+    are in one column, and go by their tops, if their relative overlap in width
+    exceeds that in height, and else ``a`` comes first.  No total order.
+    """
+    middle_a, middle_b = (a[1] + a[3]) / 2, (b[1] + b[3]) / 2
+    below = lambda p, q, mp, mq: p[1] > q[3] - tolerance or (mp > q[3] and mq < p[1])
+    above = lambda p, q, mp, mq: p[3] < q[1] + tolerance or (mp < q[1] and mq > p[3])
+    if below(a, b, middle_a, middle_b):
+        return 1
+    if above(a, b, middle_a, middle_b):
+        return -1
+    if a[0] > b[2] - tolerance:
+        return 1
+    if a[2] < b[0] + tolerance:
+        return -1
+    wide = min(a[2], b[2]) - max(a[0], b[0])
+    high = min(a[3], b[3]) - max(a[1], b[1])
+    if wide * min(a[3] - a[1], b[3] - b[1]) > min(a[2] - a[0], b[2] - b[0]) * high:
+        return -1 if a[1] < b[1] else 1
+    return -1
 
 
 def reading_order(lines: DataFrame) -> DataFrame:

@@ -21,10 +21,22 @@ def ratio_batches(items: DataFrame, group: list[str], ratio: str, idx: str, step
         b = F.when(new, acc["batch"] + 1).otherwise(acc["batch"])
         return F.struct(b.alias("batch"), F.when(new, F.lit(1)).otherwise(acc["n"] + 1).alias("n"), F.when(new, x["r"]).otherwise(acc["pivot"]).alias("pivot"), F.concat(acc["out"], F.array(F.struct(x["i"].alias("i"), b.alias("batch"), x["r"].alias("r")))).alias("out")).cast(kind)
 
+    # a group is the lines of one page; a larger one has no place in one row
     folded = items.groupBy(*group).agg(F.aggregate(rows, zero, step_)["out"].alias("o"))
     return folded.select(*group, F.explode("o").alias("o")).select(*group, F.col("o.i").alias(idx), F.col("o.batch").alias("batch"))
 
 
+def batch_widths(batches: DataFrame, group: list[str], width: str, idx: str) -> DataFrame:
+    """``group``, ``idx``, ``batch``, ``padded``: each batch is as wide as its widest member; rows in the order of ``idx`` again."""
+    w = Window.partitionBy(*group, "batch")
+    return batches.select(*group, idx, "batch", F.max(width).over(w).alias("padded"))
+
+
+def one_of(rows: DataFrame, seed: int = 0) -> DataFrame:
+    """One row drawn evenly, the same for a seed."""
+    return rows.orderBy(F.rand(seed)).limit(1)
+
+
 def even_sample(rows: DataFrame, group: str, order: list[str], k: int = 10) -> DataFrame:
     """``k`` evenly spaced rows of each group, with their place ``slot``; short groups repeat rows."""
     n = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"))

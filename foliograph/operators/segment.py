@@ -16,10 +16,24 @@ PAGE_H = 1754
 ABOVE, BELOW = 10, 5
 
 
-def latest(df: DataFrame, key: str, order: str) -> DataFrame:
-    """One row for each key: the last delivered; aggregated before the shuffle, without a sort."""
-    rest = [c for c in df.columns if c != key]
-    return df.groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("r")).select(key, "r.*")
+def latest(df: DataFrame, key: str, order: str, within: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each key: the last delivered.
+
+    One exchange, by ``within`` (columns that the key decides: a record stays
+    in its group) or else by the key.  Operators that group by ``within``
+    afterwards need no other one.  Project and reduce columns before the call:
+    what isn't selected is neither read nor moved.
+    """
+    spread = df.repartition(*within) if within else df
+    first = F.row_number().over(Window.partitionBy(*within, key).orderBy(F.desc_nulls_last(order)))
+    return spread.withColumn("__r", first).where("__r = 1").drop("__r")
+
+
+def latest_markers(lines: DataFrame, prefixes: list[str] = MARKERS) -> DataFrame:
+    """doc, page_idx, idx, y of the marker lines among the last deliveries; texts are reduced to a flag before the exchange."""
+    hit = F.coalesce(is_marker(F.col("prediction"), prefixes), F.lit(False))
+    flags = lines.select("ocr_id", "doc", "page_idx", "idx", F.col("bbox.y1").alias("y"), hit.alias("hit"), "ingested_at")
+    return latest(flags, "ocr_id", "ingested_at", ("doc", "page_idx")).where("hit").select("doc", "page_idx", "idx", "y")
 
 
 def page_slice(pages: DataFrame, jobs: DataFrame) -> DataFrame:

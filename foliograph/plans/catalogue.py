@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from ..functions import raster
 from ..functions import text as T
 from ..operators import annotations, batching, quality, segment
 from ..session import table
 from ..sources import sinks
 from . import models
 
-#: Letters of recognised text by rule: printable ASCII, and Latin letters with Vietnamese marks.
+#: Letters of recognised text by rule: printable ASCII, and Latin letters with Vietnamese marks.  Models bring vocabularies of their own, so ids here aren't theirs.
 VOCABULARY = "".join(map(chr, range(32, 127))) + "".join(chr(c) for c in [*range(0xC0, 0x180), 0x1A0, 0x1A1, 0x1AF, 0x1B0, *range(0x1EA0, 0x1EFA)])
 TEMPLATE = "Môn {subject}, lớp {grade_level}: {input}"
 
@@ -39,7 +42,9 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _ocr(spark: SparkSession, d: str, *columns: str) -> DataFrame:
-    return segment.latest(table(spark, d, "ocr_output").select("ocr_id", *columns, "ingested_at"), "ocr_id", "ingested_at").drop("ingested_at")
+    """The last delivery of each line; queries on pages get it by an exchange by page that they use further on."""
+    within = ("doc", "page_idx") if {"doc", "page_idx"} <= set(columns) else ()
+    return segment.latest(table(spark, d, "ocr_output").select("ocr_id", *columns, "ingested_at"), "ocr_id", "ingested_at", within).drop("ingested_at")
 
 
 def _exercise(spark: SparkSession, d: str, *columns: str) -> DataFrame:
@@ -77,11 +82,11 @@ def line_fanout(spark, d):
 @_query(f"with {MARK} select doc, page_idx, idx, y from mark")
 def marker_filter(spark, d):
     """Lines that begin an exercise."""
-    return segment.markers(_ocr(spark, d, "doc", "page_idx", "idx", "bbox", "prediction"))
+    return _markers(spark, d)
 
 
 def _markers(spark, d):
-    return segment.markers(_ocr(spark, d, "doc", "page_idx", "idx", "bbox", "prediction"))
+    return segment.latest_markers(table(spark, d, "ocr_output"))
 
 
 _BAND = "select doc, page_idx, (row_number() over w - 1)::int as ex_idx, y, lag(y) over w as prev, lead(y) over w as nxt, lead(y, 2) over w as nxt2 from mark window w as (partition by doc, page_idx order by y, idx)"
@@ -144,11 +149,11 @@ def small_line_filter(spark, d):
     return segment.small_lines(_ocr(spark, d, "doc", "page_idx", "idx", "bbox")).select("ocr_id", "h")
 
 
-@_query(f"with {OCR} select ocr_id, idx from ocr where idx < 1000 and least(bbox.x2 - bbox.x1, bbox.y2 - bbox.y1) >= 3 and confidence >= 0.4 and least(bbox.x2 - bbox.x1, bbox.y2 - bbox.y1) + 2 >= 5")
+@_query(f"with {OCR} select ocr_id, idx from ocr where idx < 1000 and least(bbox.x2 - bbox.x1, bbox.y2 - bbox.y1) >= 3 and confidence >= 0.4 and least(bbox.x2 - bbox.x1, bbox.y2 - bbox.y1) * confidence >= 20")
 def candidate_filter(spark, d):
-    """Lines that pass the detector's filters."""
+    """Lines that pass the detector's filters; a side weighted by the confidence stands for the grown one, in quarters."""
     side = F.least(F.col("bbox.x2") - F.col("bbox.x1"), F.col("bbox.y2") - F.col("bbox.y1"))
-    return annotations.candidates(_ocr(spark, d, "idx", "bbox", "confidence"), "idx", side, F.col("confidence"), side + 2).select("ocr_id", "idx")
+    return annotations.candidates(_ocr(spark, d, "idx", "bbox", "confidence"), "idx", side, F.col("confidence"), side * F.col("confidence") / 4).select("ocr_id", "idx")
 
 
 @_query()
@@ -184,11 +189,12 @@ def line_repair(spark, d):
     return o.select("ocr_id", T.gate(T.repair_line(F.col("prediction_raw")), F.col("confidence"), T.threshold(F.lit(None).cast("string"))).alias("text"))
 
 
-@_query(f"with {OCR} select ocr_id, confidence, case when confidence < coalesce(try_cast(substr(doc, 1, 3) as double), 0.2) then '' else prediction_raw end as gated, round(exp(-confidence), 6) as e from ocr")
+@_query(f"with {OCR} select ocr_id, confidence, case when confidence < case idx % 3 when 0 then 0.6 when 1 then 0.85 else 0.2 end then '' else prediction_raw end as gated, round(exp(-confidence), 6) as e from ocr")
 def confidence_gate(spark, d):
-    """Text of low confidence emptied, under a threshold that isn't a number."""
-    o = _ocr(spark, d, "doc", "prediction_raw", "confidence")
-    return o.select("ocr_id", "confidence", T.gate(F.col("prediction_raw"), F.col("confidence"), T.threshold(F.substring("doc", 1, 3))).alias("gated"), F.round(F.exp(-F.col("confidence")), 6).alias("e"))
+    """Text of low confidence emptied, under no threshold, a number, and a text that is none."""
+    o = _ocr(spark, d, "idx", "prediction_raw", "confidence")
+    given = F.when(F.col("idx") % 3 == 1, F.lit("0.85")).when(F.col("idx") % 3 == 2, F.lit("abc"))
+    return o.select("ocr_id", "confidence", T.gate(F.col("prediction_raw"), F.col("confidence"), T.threshold(given)).alias("gated"), F.round(F.exp(-F.col("confidence")), 6).alias("e"))
 
 
 @_query(f"with {EX} select exercise_id, question, answer from ex")
@@ -200,41 +206,58 @@ def record_json(spark, d):
 
 
 def _replies(spark, d):
-    e = _exercise(spark, d, "question", "answer")
-    body = F.to_json(F.struct(F.array(F.struct("question", "answer")).alias("exercise_list")), {"ignoreNullFields": "false"})
-    return e.withColumn("reply", F.concat(F.lit("```json\n"), F.when(F.col("answer").isNull(), F.substring(body, 1, 20)).otherwise(body), F.lit("\n```")))
+    """One reply for each crop: the exercises found in it as a fenced list; a reply whose last answer is missing is cut short."""
+    e = _exercise(spark, d, "doc", "page_idx", "ex_idx", "seq", "question", "answer")
+    one = F.struct("seq", "exercise_id", F.struct("question", "answer").alias("e"))
+    crop = e.groupBy("doc", "page_idx", "ex_idx").agg(F.array_sort(F.collect_list(one)).alias("l"))  # the few exercises of one crop
+    body = F.to_json(F.struct(F.transform("l", lambda x: x["e"]).alias("exercise_list")), {"ignoreNullFields": "false"})
+    cut = F.element_at("l", -1)["e"]["answer"].isNull()
+    return crop.select("doc", "page_idx", "ex_idx", F.concat(F.lit("```json\n"), F.when(cut, F.substring(body, 1, 20)).otherwise(body), F.lit("\n```")).alias("reply"))
+
 
+_CROPS = f"""{EX}, c as (select *, row_number() over w - 1 as pos, last_value(answer) over (w rows between unbounded preceding and unbounded following) as last from ex window w as (partition by doc, page_idx, ex_idx order by seq, exercise_id))"""
 
-@_query(f"with {EX} select exercise_id, 0 as seq, question, answer from ex where answer is not null")
+
+@_query(f"with {_CROPS} select doc, page_idx, ex_idx, pos::int as seq, question, answer from c where last is not null")
 def parse_exercise_list(spark, d):
     """Model replies cleaned and parsed to exercises; replies cut short give none."""
-    return _replies(spark, d).select("exercise_id", F.posexplode(T.parse_exercises(T.clean_reply(F.col("reply")))).alias("seq", "e")).select("exercise_id", "seq", "e.question", "e.answer")
+    r = _replies(spark, d).select("doc", "page_idx", "ex_idx", F.posexplode(T.parse_exercises(T.clean_reply(F.col("reply")))).alias("seq", "e"))
+    return r.select("doc", "page_idx", "ex_idx", "seq", "e.question", "e.answer")
 
 
-@_query(f"with {EX} select exercise_id from ex where answer is null")
+@_query(f"with {_CROPS} select distinct doc, page_idx, ex_idx from c where last is null")
 def parse_quarantine(spark, d):
     """Replies that are no exercise list."""
-    return _replies(spark, d).where(T.parse_exercises(T.clean_reply(F.col("reply"))).isNull()).select("exercise_id")
+    return _replies(spark, d).where(T.parse_exercises(T.clean_reply(F.col("reply"))).isNull()).select("doc", "page_idx", "ex_idx")
 
 
-@_query(r"select doc_id, replace(replace('```json' || chr(10) || trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) || '```', '```', ''), 'json', '') as text from documents where text is not null and regexp_matches(text, '^[!-~]') and regexp_matches(text, '[!-~]$')")
-def llm_output_clean(spark, d):
-    """The literal cleaning of a fenced reply: every fence mark and every "json" removed; only texts that begin and end in printable ASCII, as in the SQL."""
-    t = table(spark, d, "documents").where(F.col("text").rlike("^[!-~]") & F.col("text").rlike("[!-~]\\z"))
-    return _literally_clean(t)
+@_query()
+def reply_repair(spark, d):
+    """Replies that are no exercise list, through the repairing model: what becomes one, and what stays bad."""
+    bad = _replies(spark, d).where(T.parse_exercises(T.clean_reply(F.col("reply"))).isNull()).withColumn("error", F.lit("not an exercise list"))
+    good, left = models.repair(bad, ["doc", "page_idx", "ex_idx"])
+    none = lambda kind: F.lit(None).cast(kind)
+    return good.select("doc", "page_idx", "ex_idx", "seq", "question", "answer", none("string").alias("error")).unionByName(
+        left.select("doc", "page_idx", "ex_idx", none("int").alias("seq"), none("string").alias("question"), none("string").alias("answer"), "error")
+    )
+
+
+@_query()
+def solved_exercises(spark, d):
+    """Exercises with the solver's answer (a deterministic stand-in) and the final answer from its box."""
+    return models.solve(_exercise(spark, d, "question", "answer"), "question", "answer").select("exercise_id", "answer", "final_answer", "error")
 
 
-def _literally_clean(t: DataFrame) -> DataFrame:
-    return t.select("doc_id", T.clean_reply(F.concat(F.lit("```json\n"), "text", F.lit("```")), literal=True).alias("text"))
+@_query("select doc_id, replace(replace('```json' || chr(10) || text || '```', '```', ''), 'json', '') as text from documents")
+def llm_output_clean(spark, d):
+    """The literal cleaning of a fenced reply, for all documents: every fence mark and every "json" removed; white space inside the fence stays, and a null text stays null."""
+    return table(spark, d, "documents").select("doc_id", T.clean_reply(F.concat(F.lit("```json\n"), "text", F.lit("```")), literal=True).alias("text"))
 
 
-@_query()
-def llm_output_clean_all(spark, d):
-    """The same cleaning of all documents; white space inside the fence stays, and a null text stays null."""
-    return _literally_clean(table(spark, d, "documents"))
+_BOX = T.box_pattern().replace("'", "''")
 
 
-@_query(rf"with {EX} select exercise_id, case when regexp_matches(answer, '\\boxed\{{[^{{}}]*\}}') then regexp_extract(answer, '\\boxed\{{([^{{}}]*)\}}', 1) end as boxed from ex where answer is not null")
+@_query(f"with {EX} select exercise_id, case when regexp_matches(answer, '{_BOX}') then regexp_extract(answer, '{_BOX}', 1) end as boxed from ex where answer is not null")
 def boxed_answer(spark, d):
     """Final answers from boxes."""
     return _exercise(spark, d, "answer").where("answer is not null").select("exercise_id", T.boxed(F.col("answer")).alias("boxed"))
@@ -258,11 +281,18 @@ def vocab_encode(spark, d):
     return _ocr(spark, d, "prediction").where("length(prediction) > 0").select("ocr_id", T.encode(F.col("prediction"), VOCABULARY).alias("ids"))
 
 
-@_query(f"with {OCR} select ocr_id, array_to_string(list_filter(string_split(prediction, ''), lambda c: strpos({_q(VOCABULARY)}, c) > 0), '') as text from ocr where length(prediction) > 0 and not contains(prediction, '  ') or length(prediction) > 0")
+@_query(f"with {OCR} select ocr_id, array_to_string(list_transform(string_split(prediction, ''), lambda c: case when strpos({_q(VOCABULARY)}, c) > 0 then c else '*' end), '') as text from ocr where length(prediction) > 0")
 def vocab_decode(spark, d):
-    """Ids back to text; unknown characters are lost."""
-    ids = T.encode(F.col("prediction"), VOCABULARY)
-    return _ocr(spark, d, "prediction").where("length(prediction) > 0").select("ocr_id", T.decode(F.filter(ids, lambda i: i != 3), VOCABULARY).alias("text"))
+    """Ids back to text; unknown characters come back as the mask."""
+    return _ocr(spark, d, "prediction").where("length(prediction) > 0").select("ocr_id", T.decode(T.encode(F.col("prediction"), VOCABULARY), VOCABULARY).alias("text"))
+
+
+@_query(rf"with {OCR} select ocr_id, regexp_replace(prediction, '[\t\n\x0b\f\r]', '', 'g') as text from ocr where length(prediction) > 0")
+def join_tokens(spark, d):
+    r"""Tokens (characters, and ``\;`` for a space) up to the end mark joined to text."""
+    p = F.col("prediction")
+    tokens = F.concat(F.transform(F.filter(F.split(p, ""), lambda c: c != ""), lambda c: F.when(c == " ", F.lit("\\;")).otherwise(c)), F.array(F.lit("</s>"), F.lit("x")))
+    return _ocr(spark, d, "prediction").where("length(prediction) > 0").select("ocr_id", T.join_tokens(tokens).alias("text"))
 
 
 _WORDS = rf"list_filter(regexp_split_to_array({_STRIP.format('prediction')}, '[\s\x0b\x{{85}}\p{{Z}}]+'), lambda w: w <> '')"
@@ -313,6 +343,12 @@ def exact_match_summary(spark, d):
     return quality.summary(x.select(acc.alias("acc")), F.col("acc")).withColumns({c: F.round(c, 9) for c in ("mean_accuracy", "exact_share")})
 
 
+@_query()
+def text_differences(spark, d):
+    """What differs between repaired and raw lines, in words."""
+    return _ocr(spark, d, "prediction", "prediction_raw").select("ocr_id", quality.difference("prediction", "prediction_raw").alias("explanation"))
+
+
 @_query()
 def char_accuracy(spark, d):
     """Character accuracy of repaired lines against raw ones."""
@@ -328,6 +364,33 @@ def modal_rotation(spark, d):
     return quality.modal_angle(e, "label", F.element_at("embedding", 1).cast("double") * 90).withColumn("angle", F.round("angle", 6))
 
 
+@_query("""with e as (select *, 'x' as k from documents)
+select doc_id, ws[list_position(list_transform(ws, lambda w: length(w)), list_max(list_transform(ws, lambda w: length(w))))] as word from (select doc_id, string_split(text, ' ') as ws from e where text is not null)""")
+def longest_words(spark, d):
+    """The first of the longest blank-separated words of each document."""
+    return table(spark, d, "documents").where("text is not null").select("doc_id", T.first_longest(F.split("text", " ")).alias("word"))
+
+
+@_query(r"select doc_id, string_split(path, '/')[1] as model, string_split(path, '/')[2] as version from (select doc_id, coalesce(subject, 'none') || '/' || coalesce(grade::int, 0) || '/model.onnx' as path from documents)")
+def model_path_parts(spark, d):
+    """Model and version from artifact paths."""
+    path = F.concat_ws("/", F.coalesce("subject", F.lit("none")), F.coalesce("grade", F.lit(0)).cast("string"), F.lit("model.onnx"))
+    return table(spark, d, "documents").select("doc_id", T.path_part(path, 0).alias("model"), T.path_part(path, 1).alias("version"))
+
+
+@_query("select event_id from events where user_id % 300 < 255 and not starts_with('key_' || event_type, 'key_c') and not starts_with(event_type, 'key')")
+def drawn_fields(spark, d):
+    """Events as recognised fields: those whose label has a colour and that are no keys."""
+    name = F.when(F.col("event_type").startswith("c"), F.concat(F.lit("key_"), "event_type")).otherwise(F.col("event_type"))
+    return table(spark, d, "events").where(T.drawable(F.col("user_id") % 300, name)).select("event_id")
+
+
+@_query(f"with {OCR} select ocr_id from ocr where bbox.x2 > bbox.x1 and bbox.y2 - bbox.y1 > ocr_id % 40")
+def crops_with_extent(spark, d):
+    """Lines whose crop, less a part of its height, has extent."""
+    b = F.col("bbox")
+    return _ocr(spark, d, "bbox").where(G.has_extent(b["x1"], b["y1"] + F.col("ocr_id") % 40, b["x2"], b["y2"])).select("ocr_id")
+
 @_query("""select 'event_type' as "column", max(length(event_type))::int as width from events union all select 'props', max(length(props))::int from events""")
 def report_column_width(spark, d):
     """Widths of report columns."""
@@ -345,6 +408,17 @@ def ratio_batches(spark, d):
     return batching.ratio_batches(o.withColumn("ratio", r), ["doc", "page_idx"], "ratio", "idx", most=8)
 
 
+@_query(_SQL["ratio_batches"].replace("select doc, page_idx, idx, batch from f", """, g as (select f.*, greatest(trunc(x.r * 64 / 4)::int * 4, 4) as w from f join x on x.doc = f.doc and x.page_idx = f.page_idx and x.idx = f.idx)
+select doc, page_idx, idx, batch, max(w) over (partition by doc, page_idx, batch) as padded from g"""))
+def batch_widths(spark, d):
+    """Width at height 64 to which each line of a batch is padded."""
+    o = _ocr(spark, d, "doc", "page_idx", "idx", "bbox")
+    r = (F.col("bbox.x2") - F.col("bbox.x1")).cast("double") / (F.col("bbox.y2") - F.col("bbox.y1"))
+    o = o.withColumn("ratio", r).withColumn("w", F.greatest((F.col("ratio") * 64 / 4).cast("int") * 4, F.lit(4)))
+    b = batching.ratio_batches(o, ["doc", "page_idx"], "ratio", "idx", most=8).join(o.select("doc", "page_idx", "idx", "w"), ["doc", "page_idx", "idx"])
+    return batching.batch_widths(b, ["doc", "page_idx"], "w", "idx")
+
+
 @_query("""with n as (select user_id, count(*) as n from events group by user_id), s as (select user_id, i::int as slot, round_even(i * (n - 1) / 9.0, 0)::int as at from n, generate_series(0, 9) g(i)),
 e as (select *, row_number() over (partition by user_id order by ts, event_id) - 1 as at from events) select s.user_id as user_id, slot, event_id from s join e on e.user_id = s.user_id and e.at = s.at""")
 def even_sampling(spark, d):
@@ -370,11 +444,16 @@ def _points(spark, d):
     return e.select("vec_id", F.transform(F.sequence(F.lit(1), F.lit(32)), lambda i: F.struct(v(2 * i - 1).alias("x"), v(2 * i).alias("y"))).alias("p"))
 
 
-@_query(f"with {BOX} select ocr_id, x1 as ax, y1 as ay, x1 + w as cx, y1 + h as cy from box")
+def _flat(p) -> list:
+    """Coordinates of four corners as columns ``px1`` to ``py4``."""
+    return [F.get(p, F.lit(k))[c].alias(f"p{c}{k + 1}") for k in range(4) for c in ("x", "y")]
+
+
+@_query(f"with {BOX} select ocr_id, x1 as px1, y1 as py1, x1 + w as px2, y1 as py2, x1 + w as px3, y1 + h as py3, x1 as px4, y1 + h as py4 from box")
 def rect_to_polygon(spark, d):
     """Corners of line boxes."""
     b = _boxes(spark, d).withColumn("p", G.rectangle(F.col("x1"), F.col("y1"), F.col("w"), F.col("h")))
-    return b.select("ocr_id", F.col("p")[0]["x"].alias("ax"), F.col("p")[0]["y"].alias("ay"), F.col("p")[2]["x"].alias("cx"), F.col("p")[2]["y"].alias("cy"))
+    return b.select("ocr_id", *_flat(F.col("p")))
 
 
 @_query(f"with {PTS} select vec_id, list_min(list_transform(p, lambda q: q.x)) as x1, list_min(list_transform(p, lambda q: q.y)) as y1, list_max(list_transform(p, lambda q: q.x)) as x2, list_max(list_transform(p, lambda q: q.y)) as y2 from pts")
@@ -387,6 +466,15 @@ _AREA = "abs(list_sum(list_transform(range(1, 33), lambda i: p[i].x * p[i % 32 +
 _PERI = "list_sum(list_transform(range(1, 33), lambda i: sqrt(pow(p[i].x - p[i % 32 + 1].x, 2) + pow(p[i].y - p[i % 32 + 1].y, 2))))"
 
 
+@_query(f"""with {PTS}, a as (select vec_id, {_AREA} * 10000 as area, {_PERI} * 100 as peri, p[1].x * 90 as angle from pts)
+select vec_id, round(case when area < 25 or 4 * pi() * area / (peri * peri) >= 0.8 then 0 else angle end, 6) as vote, round(area * 1.6 / peri * 1.45, 6) as outline from a""")
+def rotation_votes(spark, d):
+    """Angles for which polygons vote, and how far their outlines are grown."""
+    big = F.transform("p", lambda q: F.struct((q["x"] * 100).alias("x"), (q["y"] * 100).alias("y")))
+    x = _points(spark, d).select("vec_id", big.alias("p"), (F.col("p")[0]["x"] * 90).alias("angle"))
+    return x.select("vec_id", F.round(G.vote(F.col("p"), F.col("angle")), 6).alias("vote"), F.round(G.outline_distance(F.col("p")), 6).alias("outline"))
+
+
 @_query(f"with {PTS}, a as (select vec_id, {_AREA} as area, {_PERI} as peri from pts) select vec_id, round(area, 6) as area, round(4 * pi() * area / (peri * peri), 6) as roundness, round(area * 1.6 / peri, 6) as unclip from a")
 def polygon_measures(spark, d):
     """Area, roundness and unclip distance of polygons."""
@@ -394,21 +482,68 @@ def polygon_measures(spark, d):
     return _points(spark, d).select("vec_id", F.round(G.area(p), 6).alias("area"), F.round(G.roundness(p), 6).alias("roundness"), F.round(G.unclip_distance(p), 6).alias("unclip"))
 
 
-@_query(f"""with {BOX} select ocr_id, trunc((x1 - 620) * cos(radians(7)) - (y1 - 877) * sin(radians(7)) + 620)::int as x, trunc((x1 - 620) * sin(radians(7)) + (y1 - 877) * cos(radians(7)) + 877)::int as y from box""")
+def _turned(x: str, y: str) -> tuple[str, str]:
+    c, s_ = "cos(radians(angle))", "sin(radians(angle))"
+    return f"trunc(({x} - 620) * {c} - ({y} - 877) * {s_} + 620 - 3)::int", f"trunc(({x} - 620) * {s_} + ({y} - 877) * {c} + 877 - 5)::int"
+
+
+_CORNERS = [f"{v} as p{c}{n}" for n, x, y in ((1, "x1", "y1"), (2, "x2", "y1"), (3, "x2", "y2"), (4, "x1", "y2")) for c, v in zip("xy", _turned(x, y), strict=True)]
+
+
+@_query(f"with {BOX}, t as (select *, (ocr_id % 7 - 3) * 2.5 as angle from box) select ocr_id, {', '.join(_CORNERS)} from t")
 def rotate_points(spark, d):
-    """First corners of lines on a page turned by seven degrees."""
-    b = _boxes(spark, d).withColumn("p", G.rotate(F.array(G.point(F.col("x1"), F.col("y1"))), F.lit(7.0), F.lit(1240), F.lit(1754)))
-    return b.select("ocr_id", F.col("p")[0]["x"].alias("x"), F.col("p")[0]["y"].alias("y"))
+    """Corners of lines on pages turned by several angles, less an offset."""
+    r = G.rectangle(F.col("x1"), F.col("y1"), F.col("w"), F.col("h"))
+    b = _boxes(spark, d).withColumn("p", G.rotate(r, (F.col("ocr_id") % 7 - 3) * 2.5, F.lit(1240), F.lit(1754), F.lit(3), F.lit(5)))
+    return b.select("ocr_id", *_flat(F.col("p")))
 
 
 @_query(f"""with {PTS}, q as (select vec_id, list_sort(list_transform(p[1:4], lambda a: struct_pack(x := a.x, y := a.y))) as s from pts),
 l as (select vec_id, list_sort(list_transform(s[1:2], lambda a: struct_pack(y := a.y, x := a.x))) as lf, s[3] as r1, s[4] as r2 from q),
 f as (select vec_id, lf[1] as tl, lf[2] as bl, r1, r2, pow(r1.x - lf[1].x, 2) + pow(r1.y - lf[1].y, 2) > pow(r2.x - lf[1].x, 2) + pow(r2.y - lf[1].y, 2) as first from l)
-select vec_id, tl.x as tlx, tl.y as tly, case when first then r2.x else r1.x end as trx, case when first then r1.x else r2.x end as brx, bl.x as blx from f""")
+select vec_id, tl.x as tlx, tl.y as tly, case when first then r2.x else r1.x end as trx, case when first then r2.y else r1.y end as t_ry, case when first then r1.x else r2.x end as brx, case when first then r1.y else r2.y end as bry, bl.x as blx, bl.y as bly from f""")
 def quad_order(spark, d):
     """Corners in order: top left, top right, bottom right, bottom left."""
     q = _points(spark, d).select("vec_id", G.order_corners(F.slice("p", 1, 4)).alias("q"))
-    return q.select("vec_id", F.col("q")[0]["x"].alias("tlx"), F.col("q")[0]["y"].alias("tly"), F.col("q")[1]["x"].alias("trx"), F.col("q")[2]["x"].alias("brx"), F.col("q")[3]["x"].alias("blx"))
+    return q.select("vec_id", F.col("q")[0]["x"].alias("tlx"), F.col("q")[0]["y"].alias("tly"), F.col("q")[1]["x"].alias("trx"), F.col("q")[1]["y"].alias("t_ry"), F.col("q")[2]["x"].alias("brx"), F.col("q")[2]["y"].alias("bry"), F.col("q")[3]["x"].alias("blx"), F.col("q")[3]["y"].alias("bly"))
+
+
+@_query(f"""with {PTS}, s as (select vec_id, list_sort(list_transform(p[1:4], lambda a: struct_pack(x := a.x, y := a.y))) as s from pts),
+l as (select vec_id, list_sort(list_transform(s[1:2], lambda a: struct_pack(y := a.y, x := a.x))) as l, list_sort(list_transform(s[3:4], lambda a: struct_pack(y := a.y, x := a.x))) as r from s)
+select vec_id, l[1].x as px1, l[1].y as py1, r[1].x as px2, r[1].y as py2, r[2].x as px3, r[2].y as py3, l[2].x as px4, l[2].y as py4 from l""")
+def quad_order_by_height(spark, d):
+    """Corners in order, both sides by their heights."""
+    return _points(spark, d).select("vec_id", G.corners_by_height(F.slice("p", 1, 4)).alias("q")).select("vec_id", *_flat(F.col("q")))
+
+
+@_query(f"""with {PTS}, i as (select vec_id, p, unnest(range(1, 33)) as i from pts), j as (select vec_id, p, i, unnest(range(1, 33)) as j from i),
+e as (select vec_id, p, p[j].x - p[i].x as ex, p[j].y - p[i].y as ey from j where i < j), u as (select vec_id, p, ex / sqrt(ex * ex + ey * ey) as ux, ey / sqrt(ex * ex + ey * ey) as uy from e where ex <> 0 or ey <> 0),
+a as (select vec_id, list_transform(p, lambda q: q.x * ux + q.y * uy) as a, list_transform(p, lambda q: q.y * ux - q.x * uy) as b from u)
+select vec_id, round(min((list_max(a) - list_min(a)) * (list_max(b) - list_min(b))), 6) as area from a group by vec_id""")
+def min_area_rectangles(spark, d):
+    """Area of the smallest rectangle around each polygon (the SQL tries all directions between points)."""
+
+    @F.pandas_udf("double")
+    def smallest(v: pd.Series) -> pd.Series:
+        return pd.Series([float(np.prod(raster.min_area_rect(np.asarray(x, np.float64)[:64].reshape(-1, 2))[1])) for x in v])
+
+    return table(spark, d, "embeddings").select("vec_id", F.round(smallest("embedding"), 6).alias("area"))
+
+
+@_query()
+def detected_lines(spark, d):
+    """Polygons and scores that the detector's steps find in maps of eight by eight probabilities, enlarged."""
+    kind = "vec_id long, line_id int, n_points int, score double"
+
+    def run(frames):
+        for f in frames:
+            rows = []
+            for k, v in zip(f["vec_id"], f["embedding"], strict=True):
+                prob = np.kron(np.clip(np.abs(np.asarray(v, np.float64)[:64]) * 3, 0, 1).reshape(8, 8), np.ones((6, 6)))
+                rows += [(k, i, len(p), s) for i, (p, s) in enumerate(raster.detect(prob, (480, 480)))]
+            yield pd.DataFrame(rows, columns=["vec_id", "line_id", "n_points", "score"]).astype({"vec_id": "int64", "line_id": "int32", "n_points": "int32"})
+
+    return table(spark, d, "embeddings").select("vec_id", "embedding").mapInPandas(run, kind)
 
 
 def _clip(v: str, m: int) -> str:
@@ -439,12 +574,36 @@ def rescale_boxes(spark, d):
     return _boxes(spark, d).select("ocr_id", G.rescale(F.col("x1"), F.lit(1240), F.lit(736)).alias("x"), G.scale_back(F.col("x1"), F.lit(0.58)).alias("back"))
 
 
-@_query("select vec_id, round(list_sum(list_transform(embedding, lambda v: (v::double / 255 - 0.485) / 0.229)), 6) as total, len(list_filter(embedding, lambda v: v::double > 0.3)) as above from embeddings")
+_CHANNEL = [(0.485, 0.229), (0.456, 0.224), (0.406, 0.225)]
+
+
+@_query("select vec_id, " + ", ".join(f"round(list_sum(list_transform(range(1, 22), lambda i: (embedding[3*i-{2 - k}]::double / 255 - {m}::double) / {s_}::double)), 6) as c{k}" for k, (m, s_) in enumerate(_CHANNEL)) + ", len(list_filter(embedding, lambda v: v::double > 0.3)) as above from embeddings")
 def normalize_tensor(spark, d):
-    """Normalised values, and those above the mask threshold."""
-    e = F.col("embedding")
-    n = F.aggregate(F.transform(e, lambda v: (v.cast("double") / 255 - 0.485) / 0.229), F.lit(0.0), lambda a, v: a + v)
-    return table(spark, d, "embeddings").select("vec_id", F.round(n, 6).alias("total"), F.size(F.filter(e, lambda v: v.cast("double") > 0.3)).cast("long").alias("above"))
+    """Values as 21 pixels of three channels: sums of each channel normalised, and the values above the mask threshold."""
+    e, v = F.col("embedding"), lambda i: F.element_at("embedding", i.cast("int")).cast("double")
+    pixel = F.sequence(F.lit(1), F.lit(21))
+    total = lambda k, m, s_: F.aggregate(F.transform(pixel, lambda i: (v(3 * i - (2 - k)) / 255 - m) / s_), F.lit(0.0), lambda a, x: a + x)
+    return table(spark, d, "embeddings").select("vec_id", *[F.round(total(k, m, s_), 6).alias(f"c{k}") for k, (m, s_) in enumerate(_CHANNEL)], F.size(F.filter(e, lambda x: x.cast("double") > 0.3)).cast("long").alias("above"))
+
+
+@_query("""with g as (select vec_id, unnest(range(0, 64)) as k, embedding from embeddings), m as (select vec_id, embedding, k // 8 as y, k % 8 as x from g),
+n as (select *, case when y = 0 then 1 else y - 1 end as yu, case when y = 7 then 6 else y + 1 end as yd, case when x = 0 then 1 else x - 1 end as xl, case when x = 7 then 6 else x + 1 end as xr from m),
+l as (select vec_id, embedding[yu*8+x+1]::double + embedding[yd*8+x+1]::double + embedding[y*8+xl+1]::double + embedding[y*8+xr+1]::double - 4 * embedding[y*8+x+1]::double as l from n)
+select vec_id, round(var_pop(l), 6) as variance from l group by vec_id""")
+def laplacian_blur_2d(spark, d):
+    """Blur measure of pictures of eight by eight values: variance of the second difference in both directions."""
+
+    @F.pandas_udf("double")
+    def measure(v: pd.Series) -> pd.Series:
+        return pd.Series([raster.laplacian_variance(np.asarray(x, np.float64)[:64].reshape(8, 8)) for x in v])
+
+    return table(spark, d, "embeddings").select("vec_id", F.round(measure("embedding"), 6).alias("variance"))
+
+
+@_query(f"with {BOX} select ocr_id, trunc(w * least(1.0::double, 1024::double / greatest(w, h)))::int as w, trunc(h * least(1.0::double, 1024::double / greatest(w, h)))::int as h from box")
+def shrink_sizes(spark, d):
+    """Sizes with the longer side at most 1024."""
+    return _boxes(spark, d).select("ocr_id", G.shrink(F.col("w"), F.col("h")).alias("s")).select("ocr_id", "s.*")
 
 
 @_query("""with l as (select vec_id, list_transform(range(2, 64), lambda i: embedding[i-1]::double - 2 * embedding[i]::double + embedding[i+1]::double) as l from embeddings)
@@ -460,19 +619,27 @@ def laplacian_blur(spark, d):
 
 
 @_query(f"""with {OCR}, x as (select doc, page_idx, idx, prediction, bbox, row_number() over (partition by doc, page_idx order by idx) - 1 as region from ocr)
-select doc || '_' || page_idx || '.jpg' as file, region::int as region, prediction as text, bbox.x1 as x, bbox.y2 as y from x where prediction is null or trim(prediction) <> ''""")
+select doc || '_' || page_idx || '.jpg' as file, region::int as region, prediction as text, bbox.x1 as x, bbox.y1 as y, case when idx % 2 = 0 then bbox.x1 + 1 else bbox.x2 end as x3, bbox.y2 as y3, case when idx % 2 = 0 then 3 else 4 end as points
+from x where (prediction is null or trim(prediction) <> '') and idx % 5 <> 3 and idx % 7 <> 6""")
 def region_flatten(spark, d):
-    """Pages as annotation projects (JSON), read back and flattened to text regions."""
+    """Pages as annotation projects (JSON) of rectangles, polygons, other shapes and keys without text, read back and flattened to text regions."""
     o = _ocr(spark, d, "doc", "page_idx", "idx", "prediction", "bbox")
-    b = F.col("bbox")
-    shape = F.struct(F.lit("rect").alias("name"), b["x1"].alias("x"), b["y1"].alias("y"), (b["x2"] - b["x1"]).alias("width"), (b["y2"] - b["y1"]).alias("height"))
-    region = F.struct(shape.alias("shape_attributes"), F.struct(F.col("prediction").alias("text"), F.lit("line").alias("key")).alias("region_attributes"))
+    b, i = F.col("bbox"), F.col("idx")
+    none = lambda kind: F.lit(None).cast(kind)
+    xs, ys = F.array(b["x1"], b["x2"], b["x1"] + 1, b["x1"]), F.array(b["y1"], b["y1"], b["y2"])
+    poly = i % 2 == 0
+    shape = F.struct(
+        F.when(i % 7 == 6, F.lit("circle")).when(poly, F.lit("polygon")).otherwise(F.lit("rect")).alias("name"), F.when(poly, xs).alias("all_points_x"), F.when(poly, ys).alias("all_points_y"),
+        F.when(poly, none("int")).otherwise(b["x1"]).alias("x"), F.when(poly, none("int")).otherwise(b["y1"]).alias("y"), F.when(poly, none("int")).otherwise(b["x2"] - b["x1"]).alias("width"), F.when(poly, none("int")).otherwise(b["y2"] - b["y1"]).alias("height"),
+    )
+    region = F.struct(shape.alias("shape_attributes"), F.struct(F.col("prediction").alias("text"), F.when(i % 5 == 3, F.lit("logo")).otherwise(F.lit("line")).alias("key")).alias("region_attributes"))
     file = F.concat("doc", F.lit("_"), "page_idx", F.lit(".jpg"))
-    per_page = o.groupBy(file.alias("file")).agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", region.alias("r")))), lambda s: s["r"]).alias("regions"))
+    per_page = o.groupBy("doc", "page_idx").agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", region.alias("r")))), lambda s: s["r"]).alias("regions")).select(file.alias("file"), "regions")
     meta = F.create_map(F.col("file"), F.struct(F.col("file").alias("filename"), "regions"))
     text = F.to_json(F.struct(F.struct(F.struct(F.lit("pages").alias("name")).alias("project")).alias("_via_settings"), meta.alias("_via_img_metadata")))
     parsed = per_page.select(F.from_json(text, annotations.PROJECT).alias("j")).select("j.*")
-    return annotations.regions(parsed).select("file", "region", "text", F.col("polygon")[2]["x"].alias("x2"), F.col("polygon")[0]["x"].alias("x"), F.col("polygon")[2]["y"].alias("y")).drop("x2")
+    p = F.col("polygon")
+    return annotations.regions(parsed).select("file", "region", "text", p[0]["x"].alias("x"), p[0]["y"].alias("y"), p[2]["x"].alias("x3"), p[2]["y"].alias("y3"), F.size(p).alias("points"))
 
 
 # --- models ----------------------------------------------------------------------------------------------------------

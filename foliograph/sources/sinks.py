@@ -19,11 +19,33 @@ def write_records(df: DataFrame, path: str, mode: str = "append", legacy_comma:
     df.select((F.concat(line, F.lit(",")) if legacy_comma else line).alias("value")).write.mode(mode).text(path)
 
 
-def write_corpus(df: DataFrame, path: str) -> None:
-    """image and target of regions as two aligned text folders; one ordered row set feeds both."""
-    rows = df.select("image", space_out(F.col("text")).alias("target")).orderBy("image")
-    rows.select("image").write.text(f"{path}/src")
-    rows.select("target").write.text(f"{path}/tgt")
+def write_corpus(df: DataFrame, path: str, parts: int = 1) -> None:
+    """image and target of regions as two text folders, aligned file by file and line by line.
+
+    The rows are ordered and numbered once, in a table of their own; both
+    folders are written from it with the same files.
+    """
+    spark = df.sparkSession
+    rows = df.select("image", space_out(F.col("text")).alias("target")).repartitionByRange(parts, "image").sortWithinPartitions("image", "target")
+    rows.write.parquet(f"{path}/rows")
+    files = sorted(r[0] for r in spark.read.parquet(f"{path}/rows").select(F.input_file_name()).distinct().collect())
+    for k, f in enumerate(files):
+        part = spark.read.parquet(f).coalesce(1)
+        part.select("image").write.text(f"{path}/src/{k:05d}")
+        part.select(F.coalesce("target", F.lit(""))).write.text(f"{path}/tgt/{k:05d}")
+
+
+def accuracy_report(df: DataFrame, file: str, expected: str, predicted: str) -> tuple[DataFrame, DataFrame]:
+    """The report of a recognition run: one row for each label with accuracy and explanation, and the summary."""
+    from ..operators import quality
+
+    detail = df.select(F.col(file).alias("file"), F.col(predicted).alias("predicted"), F.col(expected).alias("ground_truth"), quality.char_accuracy(expected, predicted).alias("acc_by_char"), quality.difference(expected, predicted).alias("explanation"))
+    return detail, quality.summary(detail, F.col("acc_by_char"))
+
+
+def write_results(df: DataFrame, path: str, failed: Column, result: list[str]) -> None:
+    """JSON lines of results in the order of their rows; a failed one stays as a null result."""
+    df.select(F.when(failed, F.lit("null")).otherwise(as_json(*result)).alias("value")).write.text(path)
 
 
 def column_widths(df: DataFrame) -> DataFrame:

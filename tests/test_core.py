@@ -85,7 +85,7 @@ def test_literal_cleaning_of_all_documents(spark, tmp_path):
 
     texts = ["a", "", " ", " \n\x0b a \t", "Ấm áp ẩ", "“json” a", "a 😀", "\u00a0a\u2009", "``json`", "jsjsonon", "```json\na```", "a\n", None]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
-    got = {r.doc_id: r.text for r in catalogue.queries()["llm_output_clean_all"](spark, str(tmp_path)).collect()}
+    got = {r.doc_id: r.text for r in catalogue.queries()["llm_output_clean"](spark, str(tmp_path)).collect()}
     assert got == {i: None if t is None else f"```json\n{t}```".strip().replace("```", "").replace("json", "") for i, t in enumerate(texts)}
 
 
@@ -128,7 +128,10 @@ def test_modal_angle(spark):
 def test_accuracy():
     cases = [("abc", "abc", 1), ("abcd", "abxd", 0.75), ("hello world", "helo wrld", 0.909091), ("", "x", 0), ("x", "", 0), ("", "", 1), (None, None, 1)]
     assert [round(quality.accuracy(a, b), 6) for a, b, _ in cases] == [c for *_, c in cases]
-    assert quality.explain("ab", "b") == "Lost a" and quality.explain("x", "") == "Can not OCR"
+    assert quality.explain("ab", "b") == "Lost a(position 0)\n" and quality.explain("x", "") == "Can not OCR" and quality.explain("", "x") == "OCR no value field"
+    assert quality.explain("a b", "ac\n") == "Mistake  b -> c\n\n" and quality.explain("ab", "a b") == "Excess SPACE(position 1)\n" and quality.explain("a", "a") == ""
+    long = "ab" * 150
+    assert quality.accuracy(long, long) == 1.0 and quality.accuracy("x" + long, long + "y") < quality.accuracy("x" + long[:150], long[:150] + "y")  # popular characters of long texts start no match
 
 
 def test_regions(spark, tmp_path):
@@ -159,6 +162,133 @@ def test_binary_scan(spark, tmp_path):
     assert [(r.doc, r.length) for r in readers.read_documents(spark, str(tmp_path)).collect()] == [("x", 4)]
 
 
+def test_rectangles():
+    import numpy as np
+
+    from foliograph.functions import raster as R
+
+    c, sides, angle = R.min_area_rect(np.array([(0, 0), (4, 0), (4, 3), (0, 3), (2, 1)]))
+    assert sorted(sides) == [3, 4] and angle == 90 and R.deskew([(0, 0), (4, 0), (4, 3), (0, 3)]) == 0
+    turned = lambda a: [(x * np.cos(a) - y * np.sin(a), x * np.sin(a) + y * np.cos(a)) for x, y in ((0, 0), (90, 0), (90, 10), (0, 10))]
+    for degrees in (5, -5, 30, -44):
+        assert abs(R.deskew(turned(np.radians(degrees))) + degrees) < 1e-6
+    draw = np.random.default_rng(2)
+    for _ in range(30):
+        p = draw.integers(0, 50, (12, 2))
+        _, (w, h), _ = R.min_area_rect(p)
+        d = (p[:, None] - p[None]).reshape(-1, 2).astype(float)
+        d = d[(d != 0).any(1)]
+        u = d / np.hypot(*d.T)[:, None]
+        assert abs(w * h - (np.ptp(p @ u.T, axis=0) * np.ptp(p @ np.stack([-u[:, 1], u[:, 0]]), axis=0)).min()) < 1e-6
+    quad, short = R.mini_box(np.array([(10, 0), (20, 10), (10, 20), (0, 10)]))
+    assert abs(short - 200**0.5) < 1e-9 and R.mini_box(np.array([(3, 4)]))[1] == 0
+    assert R.corners_by_height(np.array([(9, 9), (0, 0), (9, 1), (0, 8)])).tolist() == [[0, 0], [9, 1], [9, 9], [0, 8]]
+
+
+def test_masks():
+    import numpy as np
+
+    from foliograph.functions import raster as R
+
+    m = np.array([[1, 0, 0, 0, 1], [0, 1, 0, 0, 1], [0, 0, 0, 0, 0], [1, 1, 0, 1, 1]], bool)
+    assert R.components(m).tolist() == [[1, 0, 0, 0, 2], [0, 1, 0, 0, 2], [0, 0, 0, 0, 0], [3, 3, 0, 4, 4]]
+    draw = np.random.default_rng(1)
+    for _ in range(20):
+        m = draw.random((9, 11)) < 0.4
+        n, seen = R.components(m), {}
+        todo = {(y, x) for y, x in zip(*np.nonzero(m))}
+        while todo:  # flood fill
+            stack = [todo.pop()]
+            k = n[stack[0]]
+            assert k not in seen
+            seen[k] = True
+            while stack:
+                y, x = stack.pop()
+                assert n[y, x] == k
+                near = {(y + a, x + b) for a in (-1, 0, 1) for b in (-1, 0, 1)} & todo
+                todo -= near
+                stack += near
+    assert R.dilate(np.array([[0, 0, 0], [0, 1, 0], [0, 0, 0]], bool)).tolist() == [[False] * 3, [False, True, True], [False, True, True]]
+    box = np.zeros((8, 9), bool)
+    box[2:6, 3:8] = True
+    assert sorted(map(tuple, R.outline(box).tolist())) == [(3, 2), (3, 5), (7, 2), (7, 5)] and R.outline(np.eye(1, dtype=bool)).tolist() == [[0, 0]]
+    prob = np.where(box, 0.8, 0.1)
+    assert abs(R.contour_score(prob, R.outline(box)) - 0.8) < 1e-12
+    grown = R.grow(np.array([(10, 10), (30, 10), (30, 20), (10, 20)]), 5)
+    assert grown.min(0).tolist() == [5, 5] and grown.max(0).tolist() == [35, 25] and abs(R.area(grown) - (200 + 5 * 60 + np.pi * 25)) < 15
+
+
+def test_detector():
+    import numpy as np
+
+    from foliograph.functions import raster as R
+
+    prob = np.full((60, 100), 0.05)
+    prob[10:16, 10:60], prob[30:36, 10:80], prob[50:51, 5:9], prob[40:46, 60:95] = 0.9, 0.7, 0.9, 0.35
+    found = R.detect(prob, (200, 120))
+    assert len(found) == 2 and [round(s, 6) for _, s in found] == [0.9, 0.7]
+    (x1, y1), (x2, y2) = np.min(found[0][0], 0), np.max(found[0][0], 0)
+    assert x1 < 20 and x2 > 118 and y1 < 20 and y2 > 30
+    assert len(R.detect(prob, most=1)) == 1 and R.detect(np.zeros((5, 5))) == [] and len(R.detect(prob, raw=False, box=0.3)[0][0]) == 4
+
+
+def test_tensors():
+    import numpy as np
+
+    from foliograph.functions import raster as R
+
+    img = np.arange(4 * 6 * 3).reshape(4, 6, 3).astype(np.uint8)
+    n = R.normalise(img)
+    assert n.shape == (3, 4, 6) and abs(n[1, 2, 3] - (img[2, 3, 1] / 255 - 0.456) / 0.224) < 1e-6
+    assert R.resize(img, 6, 4).tolist() == img.tolist() and R.resize(img, 3, 2).shape == (2, 3, 3)
+    b = R.line_batch([np.full((48, 40, 3), 255), np.full((24, 100, 3), 51)])
+    assert b.shape == (2, 3, 48, 200) and b[0, :, :, 40:].max() == 0 and abs(b[1].min() - 0.2) < 1e-6
+    assert R.upright(np.zeros((50, 11, 3))).shape == (11, 50, 3) and R.upright(np.zeros((50, 10, 3))).shape == (50, 10, 3)
+    flat = np.zeros((5, 5))
+    flat[2, 2] = 1
+    assert R.laplacian_variance(np.ones((4, 4, 3))) == 0 and abs(R.laplacian_variance(flat) - (20 / 25)) < 1e-12
+    assert R.canvas(100, 50, 0) == (100, 50) and R.canvas(100, 50, 90) == (50, 100)
+    assert R.line_crop([(10, 20), (60, 20), (60, 40), (10, 40)], (100, 80)) == (0.0, (100, 80), (9, 19, 62, 46))
+    assert R.line_crop([(10, 20), (60, 20), (60, 40), (10, 40)], (100, 80), R.TOOL)[2] == (9, 18, 60, 45)
+    assert R.line_crop([(10, 20), (10, 20), (10, 20)], (100, 80)) is None
+    assert R.decode_pixmap(b"P6\n2 1\n255\n" + bytes(6)).shape == (1, 2, 3) and R.decode_pixmap(b"P6\n2 1\n255\n") is None and R.decode_pixmap(None) is None and R.decode_pixmap(b"\xff\xd8") is None
+    assert R.swap_channels(img)[0, 0].tolist() == [2, 1, 0]
+
+
+def test_line_numbers(spark, tmp_path):
+    (tmp_path / "t.txt").write_text("".join(f"line {i}\n" for i in range(5000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = {r.line_no: r.value for r in readers.read_lines(spark, str(tmp_path / "t.txt")).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == {i: f"line {i}" for i in range(5000)}
+    df = spark.createDataFrame([("a" if i % 3 else None, i * 40_000) for i in range(50)] + [("a", None)], "k string, i long")
+    plain = sorted(map(str, readers.number_rows(df, ["k"], ["i", "k"]).collect()))
+    assert sorted(map(str, readers.number_rows(df, ["k"], ["i"]).collect())) == plain
+
+
+def test_media(spark):
+    df = spark.createDataFrame([("a.MP4", True), ("b.mp4", False), ("c.txt", True), (None, True), ("d.đồ", True)], "path string, ok boolean")
+    got = [(r.kind, r.err_code) for r in readers.with_media_error(df, "path", F.col("ok")).collect()]
+    assert got == [("mp4", None), ("mp4", "E814"), ("txt", "E812"), (None, "E812"), ("do", "E812")]
+    pics = spark.createDataFrame([("a", bytearray(b"P5\n2 1\n255\n\x01\x02")), ("b", bytearray(b"x")), ("c", None)], "path string, content binary")
+    assert [(r.path, r.height, r.width, r.channels, bytes(r.pixels)) for r in readers.read_images(pics).collect()] == [("a", 1, 2, 1, b"\x01\x02")]
+
+
+def test_aligned_corpus(spark, tmp_path):
+    df = spark.createDataFrame([(f"{i:03d}.png", f"t{i}" if i % 5 else None) for i in range(40)], "image string, text string")
+    sinks.write_corpus(df, str(tmp_path / "c"), parts=3)
+    lines = lambda d: [x for f in sorted((tmp_path / "c" / d).glob("*/part-*.txt")) for x in f.read_text().split("\n")[:-1]]
+    assert list(zip(lines("src"), lines("tgt"), strict=True)) == [(f"{i:03d}.png", " ".join(f"t{i}") if i % 5 else "") for i in range(40)]
+    detail, total = sinks.accuracy_report(spark.createDataFrame([("a", "ab", "ab"), ("b", "x", "")], "f string, e string, p string"), "f", "e", "p")
+    assert [(r.acc_by_char, r.explanation) for r in detail.collect()] == [(1.0, ""), (0.0, "Can not OCR")] and total.first().mean_accuracy == 0.5
+    sinks.write_results(spark.createDataFrame([("a", None), (None, "bad")], "text string, err string").coalesce(1), str(tmp_path / "r"), F.col("err").isNotNull(), ["text"])
+    assert [r.value for r in spark.read.text(str(tmp_path / "r")).collect()] == ['{"text":"a"}', "null"]
+
+
 def test_models(spark):
     class Flaky:
         def __init__(self):
@@ -178,11 +308,99 @@ def test_models(spark):
         models.Settings("nobody", "m")
 
 
+def test_settings():
+    a = models.Settings("azure", "m", "http://h", "v").arguments()
+    assert a["base_url"] == "http://h" and a["api_version"] == "v" and a["frequency_penalty"] == 0.5 and a["max_retries"] == 3
+    assert "frequency_penalty" not in models.Settings("claude", "m").arguments() and "base_url" not in models.Settings("google", "m", "http://h").arguments()
+
+
+def test_renewing():
+    made = []
+
+    class Once:
+        def __init__(self):
+            made.append(self)
+            self.n = 0
+
+        def process(self, prompt):
+            self.n += 1
+            if prompt == "bad" and len(made) < 3:
+                raise RuntimeError
+            return f"{len(made)}.{self.n}"
+
+    m = models.Renewing(Once, after=2)
+    assert [m.process("a") for _ in range(3)] == ["1.1", "1.2", "2.1"] and m.process("bad") == "3.1"
+
+
+def test_repair_and_solve(spark):
+    cut = '```json\n{"exercise_list":[{"question":"q \\"x","answer":null'
+    bad = spark.createDataFrame([(1, cut, None), (2, "no json", "e"), (3, None, "ValueError: null prompt")], "i int, reply string, error string")
+    good, left = models.repair(bad, ["i"])
+    assert [tuple(r) for r in good.collect()] == [(1, 0, 'q "x', None)] and {r.i: r.error for r in left.collect()} == {2: "e", 3: "ValueError: null prompt"}
+    e = spark.createDataFrame([(1, "q", "a \\boxed{1}"), (2, None, None)], "i int, question string, answer string")
+    kept = {r.i: r for r in models.solve(e, "question", "answer", step_by_step=False).collect()}
+    assert kept[1].answer == "a \\boxed{1}" and kept[1].final_answer == "1" and kept[2].final_answer is None
+    solved = {r.i: r for r in models.solve(e, "question", "answer", final=False).collect()}
+    assert "boxed" in solved[1].answer and solved[2].answer is None and solved[2].error and "final_answer" not in solved[1]
+    reply = '```json\n{"exercise_title_list":[{"exercise_title_index":"Câu 1","bounding_box":[1,2,3,4]},{"exercise_title_index":"Câu 2","bounding_box":[1]}]}\n```'
+    t = models.exercise_titles(spark.createDataFrame([(7, reply), (8, "x")], "i int, reply string"), "reply").collect()
+    assert [(r.i, r.seq, r.title, r.box and tuple(r.box)) for r in t] == [(7, 0, "Câu 1", (1, 2, 3, 4)), (7, 1, "Câu 2", None)]
+
+
+def test_read_pages(spark):
+    import numpy as np
+
+    page = np.full((60, 100, 3), 255, np.uint8)
+    page[10:16, 10:60] = page[30:36, 10:90] = 0
+    rows = [("d", 0, 60, 100, 3, bytearray(page.tobytes())), ("d", 1, 60, 100, 3, bytearray(b"short")), ("d", 2, 60, 100, 3, bytearray(np.full((60, 100, 3), 255, np.uint8).tobytes()))]
+    df = spark.createDataFrame(rows, "doc string, page_idx int, height int, width int, channels int, pixels binary")
+    got = sorted(models.read_pages(df).collect(), key=lambda r: (r.page_idx, r.line_id or 0))
+    assert [(r.page_idx, r.line_id) for r in got] == [(0, 0), (0, 1), (1, None)] and got[2].error.startswith("ValueError")
+    assert got[0].bbox.x1 <= 10 and got[0].bbox.y2 >= 15 and got[0].ids[0] == 1 and 0 < got[0].confidence <= 1 and got[0].score > 0.9
+
+
+def test_smaller_functions(spark):
+    quad = [(9, 9), (0, 0), (9, 1), (0, 8)]
+    df = spark.createDataFrame([([(float(x), float(y)) for x, y in quad],), ([(1.0, 2.0), (3.0, 0.0)],)], "p array<struct<x:double,y:double>>")
+    p = F.col("p")
+    r = df.select(G.corners_by_height(p).alias("q"), G.repaired(p).alias("r"), G.vote(p, F.lit(7.0)).alias("v"), F.try_divide(G.outline_distance(p), G.unclip_distance(p)).alias("o")).collect()
+    assert [tuple(x) for x in r[0].q] == [(0, 0), (9, 1), (9, 9), (0, 8)] and r[1].q is None and len(r[0].r) == 4 and [tuple(x) for x in r[1].r] == [(1, 0), (3, 0), (3, 2), (1, 2)]
+    assert r[1].v == 0.0 and abs(r[0].o - 1.45) < 1e-9
+    assert texts(spark, ["a \\boxed{\\frac{1}{\\sqrt{2}}} b", "\\boxed{x", "\\boxed{{}} \\boxed{2}"], T.boxed) == ["\\frac{1}{\\sqrt{2}}", None, "{}"]
+    assert texts(spark, ["a bb cc", "", None], lambda c: T.first_longest(F.split(c, " "))) == ["bb", "", None]
+    df = spark.createDataFrame([(1, "key_a"), (300, "x"), (3, "x"), (None, "x"), (4, None)], "l int, n string")
+    assert [r.x for r in df.select(T.drawable(F.col("l"), F.col("n")).alias("x")).collect()] == [False, False, True, False, False]
+    assert texts(spark, ["m/1/x", "m"], lambda c: T.path_part(c, 1)) == ["1", None]
+    df = spark.createDataFrame([([0, 3, 4],), ([],)], "i array<int>")
+    assert [r.x for r in df.select(T.decode(F.col("i"), "abc").alias("x")).collect()] == ["<pad>*a", ""]
+    w = batching.batch_widths(spark.createDataFrame([("g", 0, 0, 8), ("g", 1, 0, 20), ("g", 2, 1, 4)], "g string, i int, batch int, w int"), ["g"], "w", "i").orderBy("i").collect()
+    assert [r.padded for r in w] == [20, 20, 4] and batching.one_of(spark.range(9), 3).count() == 1
+
+
+def test_plans_of_page_queries(spark, tmp_path):
+    """One exchange by page, texts reduced to flags before it, no sorted aggregation."""
+    from foliograph.plans import catalogue
+
+    rows = [(i, f"d{i % 2}", i % 4, i, (1, 10 * i, 5, 10 * i + 5), "Câu 1" if i % 3 else "x", "x", 0.9, datetime(2024, 1, 1), datetime(2024, 1, 1)) for i in range(40)]
+    spark.createDataFrame(rows, "ocr_id long, doc string, page_idx int, idx int, bbox struct<x1:int,y1:int,x2:int,y2:int>, prediction string, prediction_raw string, confidence double, recognized_at timestamp, ingested_at timestamp").write.parquet(str(tmp_path / "ocr_output.parquet"))
+    for name in ("exercise_bands", "context_bands", "exercise_band_text"):
+        plan = catalogue.queries()[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "SortAggregate" not in plan, name
+    plan = catalogue.queries()["exercise_bands"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "prediction" not in plan.split("Exchange")[0] and "confidence" not in plan
+
+
 def test_reading_order():
-    boxes = [(50, 10, 60, 20), (0, 12, 10, 22), (0, 40, 10, 50)]
     from functools import cmp_to_key
 
-    assert sorted(boxes, key=cmp_to_key(annotations.compare_boxes)) == [boxes[1], boxes[0], boxes[2]]
+    c = annotations.compare_boxes
+    boxes = [(50, 10, 60, 20), (0, 12, 10, 22), (0, 40, 10, 50)]
+    assert sorted(boxes, key=cmp_to_key(c)) == [boxes[1], boxes[0], boxes[2]]
+    # by hand from the rule: below, above, right, left, one column, one row, neither way round
+    assert c((0, 20, 10, 30), (0, 0, 10, 26)) == 1 and c((0, 0, 10, 20), (0, 14, 10, 40)) == -1
+    assert c((20, 0, 40, 40), (0, 0, 26, 40)) == 1 and c((0, 0, 20, 40), (14, 0, 40, 40)) == -1
+    assert c((0, 10, 100, 40), (0, 0, 100, 30)) == 1 and c((0, 0, 100, 30), (0, 10, 100, 40)) == -1
+    assert c((0, 0, 50, 40), (30, 2, 80, 42)) == -1 and c((30, 2, 80, 42), (0, 0, 50, 40)) == -1
 
 
 def test_stream(spark, tmp_path):
