@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import atexit
 import os
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,21 +18,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for cut lineage: the session's own, else one for tests in local mode."""
+    """The shared folder of ``spark.checkpoint.dir``; in local mode, where one machine is all there is, a folder of its own if that is unset."""
     have = spark.conf.get("spark.checkpoint.dir", None)
     if not have:
-        have = os.path.join("/tmp", f"foliograph-checkpoint-{os.getuid()}")
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(have)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        have = os.path.join(tempfile.gettempdir(), f"foliograph-checkpoint-{os.getuid()}")
     return have
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared checkpoint folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def spread(df: DataFrame) -> DataFrame:
     """``df`` on all cores: a scan of fewer partitions than cores (small or single files) is dealt out, others stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
@@ -86,10 +80,6 @@ def java_class(keep: Callable[[int], bool], low: int = 0, high: int = 0xFFFF) ->
     return "".join(out)
 
 
-def null_if_blank(c):
-    return F.when(F.length(F.trim(c)) > 0, c)
-
-
 _written: list[tuple[SparkSession, str]] = []
 
 

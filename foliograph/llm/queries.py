@@ -42,6 +42,13 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select(F.lit("exercise").alias("tbl"), F.col("exercise_id").alias("row_id")).unionAll(o.select(F.lit("ocr_output"), F.col("ocr_id")))
 
 
+def p2_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one consistent form of each text, and the same without regard to case; one row for each text of a record."""
+    q = table(spark, sf_dir, "exercise").select(F.lit("exercise").alias("tbl"), F.col("exercise_id").alias("row_id"), F.col("question").alias("t"))
+    o = table(spark, sf_dir, "ocr_output").select(F.lit("ocr_output").alias("tbl"), F.col("ocr_id").alias("row_id"), F.col("prediction").alias("t"))
+    return q.unionAll(o).select("tbl", "row_id", textform.to_plain(F.col("t")).alias("form"), textform.to_folded(F.col("t")).alias("folded"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs of different exercises whose questions are nearly the same."""
     found = neardup.pairs(table(spark, sf_dir, "exercise"), "exercise_id", "question")
@@ -99,6 +106,16 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.mislabelled(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
 
 
+def p8_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language of each document, with its share of the words, the confidence, and whether the label is right."""
+    return language.document_languages(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+
+
+def p8_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of each segment with words, with a confidence."""
+    return language.segment_languages(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+
+
 def queries() -> dict:
     return {name: fn for name, fn in globals().items() if name[0] == "p" and name[1:2].isdigit()}
 

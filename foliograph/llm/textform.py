@@ -146,6 +146,16 @@ def to_plain(c: Column) -> Column:
     return F.when(c.rlike(suspicious_pattern()), slow(c)).otherwise(c)
 
 
+def to_folded(c: Column) -> Column:
+    """Plain form in full case folding of a string column; printable ASCII stays in the JVM."""
+
+    @F.pandas_udf(T.StringType())
+    def slow(s):
+        return s.map({v: fold(v) for v in s.dropna().unique()}).where(s.notna(), None)
+
+    return F.when(c.rlike(r"[^\n\x20-\x7E]"), slow(c)).otherwise(F.lower(c))
+
+
 def odd_records(df: DataFrame, text: str, ids: list[str]) -> DataFrame:
     """``ids`` of rows whose ``text`` isn't in plain form, one row each.
 

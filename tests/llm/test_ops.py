@@ -103,6 +103,11 @@ def test_odd_records(spark):
     assert [r.x for r in df.orderBy("id").select(textform.to_plain(df.t).alias("x")).collect()][:4] == ["Câu", "Câu", "Câu", None]
 
 
+def test_folded(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(["ABC d", "Ｃâｕ ß", None, "", "CÂU SS"])], "i int, t string")
+    assert [r.x for r in df.orderBy("i").select(textform.to_folded(df.t).alias("x")).collect()] == ["abc d", "câu ss", None, "", "câu ss"]
+
+
 # --- 3 ---------------------------------------------------------------------------------------------------------------
 
 
