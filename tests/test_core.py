@@ -362,8 +362,8 @@ def test_read_pages(spark):
 def test_smaller_functions(spark):
     quad = [(9, 9), (0, 0), (9, 1), (0, 8)]
     df = spark.createDataFrame([([(float(x), float(y)) for x, y in quad],), ([(1.0, 2.0), (3.0, 0.0)],)], "p array<struct<x:double,y:double>>")
-    p = F.col("p")
-    r = df.select(G.corners_by_height(p).alias("q"), G.repaired(p).alias("r"), G.vote(p, F.lit(7.0)).alias("v"), F.try_divide(G.outline_distance(p), G.unclip_distance(p)).alias("o")).collect()
+    p, box = F.col("p"), G.rectangle(F.lit(0), F.lit(0), F.lit(4), F.lit(3))
+    r = df.select(G.corners_by_height(p).alias("q"), G.repaired(p).alias("r"), G.vote(p, F.lit(7.0)).alias("v"), (G.outline_distance(box) / G.unclip_distance(box)).alias("o")).collect()
     assert [tuple(x) for x in r[0].q] == [(0, 0), (9, 1), (9, 9), (0, 8)] and r[1].q is None and len(r[0].r) == 4 and [tuple(x) for x in r[1].r] == [(1, 0), (3, 0), (3, 2), (1, 2)]
     assert r[1].v == 0.0 and abs(r[0].o - 1.45) < 1e-9
     assert texts(spark, ["a \\boxed{\\frac{1}{\\sqrt{2}}} b", "\\boxed{x", "\\boxed{{}} \\boxed{2}"], T.boxed) == ["\\frac{1}{\\sqrt{2}}", None, "{}"]
