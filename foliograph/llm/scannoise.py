@@ -380,7 +380,7 @@ def factorise(pairs: DataFrame, lex: Lexicon) -> tuple[np.ndarray, np.ndarray]:
     from a bounded number of tasks, and then one vector for each frequent word.
     """
     known = np.array([lex.known[w] for w in lex.number], np.float64)
-    rows = pairs.select(F.floor(F.col("key") / ((1 << 20) * _SIDES)).alias("word"), F.pmod("key", F.lit(1 << 20)).alias("near"), "n").repartition(32, "word").sortWithinPartitions("word")
+    rows = pairs.select(F.floor(F.col("key") / ((1 << 20) * _SIDES)).alias("word"), F.pmod("key", F.lit(1 << 20)).alias("near"), "n").repartition(min(32, pairs.sparkSession.sparkContext.defaultParallelism), "word").sortWithinPartitions("word")
 
     def gram(frames):
         g = np.zeros((CONTEXTS, CONTEXTS), np.float32)
