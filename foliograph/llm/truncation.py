@@ -141,7 +141,7 @@ def verdict(text: str | None) -> str:
     if bare[-1:] in ".?!…":
         return "ended"
     if bare[-1:] in ")];":
-        return "unsure"
+        return "whole"
     parts = [p for p in _END.split(bare) if p.strip()]
     tail = parts[-1].strip() if parts else bare
     if bare.endswith(":"):
@@ -174,11 +174,12 @@ def limits(judged: DataFrame) -> DataFrame:
     """``source``, ``chars`` and ``bytes`` (arrays of its limits), ``usual`` (whether its sentences usually end without terminator).
 
     ``judged``: source, v (verdict), c and b (length in characters and bytes).
+    Texts at a limit don't tell what is usual.
     A cut by bytes may lose up to three bytes more, at a character's edge.
     """
     # one row for each source and length: a bounded summary, whatever the table's size
-    h = judged.groupBy("source", "c", "b").agg(F.count(F.lit(1)).alias("n"))
-    total = judged.groupBy("source").agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("v") == "bare").alias("bare"), F.count_if(F.col("v") == "ended").alias("ended"))
+    h = judged.groupBy("source", "c", "b").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("v") == "bare").alias("bare"), F.count_if(F.col("v") == "ended").alias("ended"))
+    total = h.groupBy("source").agg(F.sum("n").alias("all"))
 
     def piles(length: str, width: int, name: str) -> DataFrame:
         """Lengths L at which (L - width, L] holds a pile, compared with the ten lengths on either side."""
@@ -191,10 +192,18 @@ def limits(judged: DataFrame) -> DataFrame:
         kept = kept.where((F.col("own") > PILE * F.col("all")) & (F.col("own") >= LEAST) & (F.col("own") > TIMES * F.col("around")) & (F.col("at") >= SHORTEST))
         return kept.withColumn("r", top).where("r <= 50").groupBy("source").agg(F.collect_list("at").alias(name))  # at most 1/PILE of them exist
 
-    out = total.select("source", ((F.col("bare") > USUAL * (F.col("bare") + F.col("ended"))) & (F.col("bare") + F.col("ended") >= ENDINGS)).alias("usual"))
+    out = total.select("source")
     for name, d in (("chars", piles("c", 1, "chars")), ("bytes", piles("b", 4, "bytes"))):
         out = out.join(d.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    return out
+    # what a limit cut has no terminator, whatever is usual
+    free = h.withColumnRenamed("source", "s").join(out, F.col("source").eqNullSafe(F.col("s"))).where(~at_limit()).groupBy("s").agg(F.sum("bare").alias("bare"), F.sum("ended").alias("ended"))
+    usual = free.select("s", ((F.col("bare") > USUAL * (F.col("bare") + F.col("ended"))) & (F.col("bare") + F.col("ended") >= ENDINGS)).alias("usual"))
+    return out.join(usual, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumn("usual", F.coalesce("usual", F.lit(False)))
+
+
+def at_limit() -> Column:
+    """Whether a row's length (c, b) is a limit of its source (chars, bytes)."""
+    return F.coalesce(F.array_contains("chars", F.col("c")), F.lit(False)) | F.coalesce(F.exists("bytes", lambda x: (F.col("b") <= x) & (F.col("b") > x - 4)), F.lit(False))
 
 
 def judged(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
@@ -209,7 +218,7 @@ def judged(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
     lim = shared_table(limits(own)).withColumnRenamed("source", "s")
     few = lim.count() <= FEW_SOURCES
     both = own.join(F.broadcast(lim) if few else lim, F.col("source").eqNullSafe(F.col("s")), "left")
-    at = F.coalesce(F.array_contains("chars", F.col("c")), F.lit(False)) | F.coalesce(F.exists("bytes", lambda x: (F.col("b") <= x) & (F.col("b") > x - 4)), F.lit(False))
+    at = at_limit()
     cut = (F.col("v") == "cut") | ((F.col("v") == "bare") & (~F.col("usual") | at)) | ((F.col("v") == "unsure") & at)
     return both.select(F.col("key").alias(key), F.col("source").alias(source), cut.alias("cut"))
 
